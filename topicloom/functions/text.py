@@ -141,11 +141,13 @@ def clean_label(text: Column) -> Column:
     return F.regexp_replace(_unfence(text), r"^['\" ]+|['\" ]+\z", "")
 
 
+def _braced(text: Column) -> Column:
+    return F.regexp_substr(text, F.lit(r"(?s)\{.*\}"))
+
+
 def json_block(text: Column) -> Column:
     """From the first opening to the last closing brace; the unfenced text when there is no such pair."""
-    bare = _unfence(text)
-    block = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
-    return F.when(block != "", block).otherwise(bare)
+    return F.coalesce(_braced(text), _unfence(text))
 
 
 def parse_keywords(reply: Column) -> Column:
@@ -164,9 +166,8 @@ ANCHOR_SCHEMA = "anchors array<struct<label:string,keywords:array<string>>>, raw
 
 def parse_anchors(reply: Column) -> Column:
     """Anchors of a reply given as JSON, as fenced JSON, or as JSON wrapped under ``raw``; bad -> empty."""
-    outer = F.from_json(F.when(_is_object(json_block(reply)), json_block(reply)), ANCHOR_SCHEMA)
-    wrapped = json_block(outer["raw"])
-    inner = F.from_json(F.when(_is_object(wrapped), wrapped), ANCHOR_SCHEMA)
+    outer = F.from_json(_braced(reply), ANCHOR_SCHEMA)
+    inner = F.from_json(_braced(outer["raw"]), ANCHOR_SCHEMA)
     empty = F.array().cast("array<struct<label:string,keywords:array<string>>>")
     return F.coalesce(outer["anchors"], inner["anchors"], empty)
 

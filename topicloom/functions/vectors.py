@@ -55,6 +55,17 @@ def _cosine(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(np.einsum("ij,ij->i", unit_rows(to_matrix(a)), unit_rows(to_matrix(b))), pa.float64())
 
 
+@F.arrow_udf(VECTOR)
+def _cosine_each(v: pa.Array, others: pa.Array) -> pa.Array:
+    counts = np.diff(np.asarray(others.offsets))
+    if not counts.sum():
+        return pa.array([[] for _ in counts], pa.list_(pa.float64()))
+    mine = np.repeat(unit_rows(to_matrix(v)), counts, axis=0)
+    sims = np.einsum("ij,ij->i", mine, unit_rows(to_matrix(others.flatten())))
+    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sims))
+
+
 def as_vector(column: Column) -> Column:
     """Stored float arrays as double arrays."""
     return column.cast(VECTOR)
@@ -73,3 +84,8 @@ def dot(a: Column, b: Column) -> Column:
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity of two array columns; 0 when either is a zero vector."""
     return _cosine(as_vector(a), as_vector(b))
+
+
+def cosine_each(v: Column, others: Column) -> Column:
+    """Cosine similarity of a vector to every vector of a list, in list order."""
+    return _cosine_each(as_vector(v), others.cast(T.ArrayType(VECTOR)))

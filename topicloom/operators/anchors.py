@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.functions.text import anchor_text, clean_label, keyword_list, parse_anchors
-from topicloom.functions.vectors import cosine
+from topicloom.functions.vectors import cosine_each
 
 # Fixed value: posts less similar than this to every anchor are noise.
 MIN_SIMILARITY = 0.2
@@ -42,27 +42,16 @@ def assign_anchors(posts: DataFrame, anchors: DataFrame, min_similarity: float =
     anchors of its own topic, packed in one row per topic; scores stay in anchor order and the earliest anchor wins a
     tie. A post below ``min_similarity`` is noise.
     """
-    packed = anchors.groupBy(F.col("l2_topic").alias("parent_topic")).agg(
-        F.sort_array(F.collect_list(F.struct("l3_topic", "embedding"))).alias("anchors")
-    )
-    own = posts.select("post_id", F.col("topic").alias("parent_topic"), F.col("embedding").alias("vector")).where(
-        F.col("parent_topic") != -1
-    )
-    met = own.join(packed, "parent_topic").select(
-        "post_id", "parent_topic", "vector", F.posexplode("anchors").alias("anchor_no", "anchor")
-    )
-    scored = met.select(
-        "post_id", "parent_topic", "anchor_no", F.col("anchor.l3_topic").alias("l3_topic"), cosine(F.col("vector"), F.col("anchor.embedding")).alias("sim")
-    )
-    gathered = scored.groupBy("post_id", "parent_topic").agg(
-        F.sort_array(F.collect_list(F.struct("anchor_no", "l3_topic", "sim"))).alias("s"),
-        F.min(F.struct((-F.col("sim")).alias("minus"), "anchor_no", "l3_topic")).alias("best"),
-    )
-    topic = F.when(-F.col("best.minus") < min_similarity, F.lit(-1)).otherwise(F.col("best.l3_topic")).cast("int")
-    return gathered.select(
+    listed = F.sort_array(F.collect_list(F.struct("l3_topic", "embedding")))
+    packed = anchors.groupBy(F.col("l2_topic").alias("parent_topic")).agg(listed.alias("anchors"))
+    own = posts.where(F.col("topic") != -1).select("post_id", F.col("topic").alias("parent_topic"), F.col("embedding").alias("vector"))
+    scored = own.join(packed, "parent_topic").select(
         "post_id",
-        topic.alias("topic"),
         "parent_topic",
-        F.col("s.l3_topic").cast("array<int>").alias("top_n_topics"),
-        F.col("s.sim").alias("top_n_scores"),
+        F.col("anchors.l3_topic").cast("array<int>").alias("top_n_topics"),
+        cosine_each(F.col("vector"), F.col("anchors.embedding")).alias("top_n_scores"),
     )
+    best = F.array_max("top_n_scores")
+    first = F.get("top_n_topics", (F.array_position("top_n_scores", best) - 1).cast("int"))
+    topic = F.when(best < min_similarity, F.lit(-1)).otherwise(first).cast("int")
+    return scored.select("post_id", topic.alias("topic"), "parent_topic", "top_n_topics", "top_n_scores")

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPREAD = 64
+# Samples up to this size are sorted directly; larger ones use this many hash bits for their ranges.
+SORTED_SAMPLE = 100_000
+RANGE_BITS = 16
 
 
 def top_per_group(
@@ -43,8 +46,23 @@ def collect_ranked(df: DataFrame, group: Sequence[str], value: str, rank: str =
 
 
 def sample_exact(df: DataFrame, rows: int, seed: int, key: str = "post_id") -> DataFrame:
-    """Exactly ``rows`` rows (all when there are fewer), the same ones for every partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(rows)
+    """Exactly ``rows`` rows (all when there are fewer), the same ones for every partitioning.
+
+    Rows are taken in the order of a seeded hash. A large sample is cut by hash ranges, so that only the rows of the
+    range in which the sample ends are sorted.
+    """
+    place = F.xxhash64(F.col(key), F.lit(seed))
+    if rows <= SORTED_SAMPLE:
+        return df.orderBy(place, F.col(key)).limit(rows)
+    reach = F.shiftrightunsigned(place, 64 - RANGE_BITS)
+    counts = df.groupBy(reach.alias("range")).agg(F.count(F.lit(1)).alias("n")).collect()
+    left = rows
+    for range_no, n in sorted((r["range"], r["n"]) for r in counts):
+        if n > left:
+            whole = df.where(reach < range_no)
+            return whole.unionByName(df.where(reach == range_no).orderBy(place, F.col(key)).limit(left)) if left else whole
+        left -= n
+    return df
 
 
 def topic_sizes(clusters: DataFrame, topic: str = "topic") -> DataFrame:

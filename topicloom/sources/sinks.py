@@ -18,7 +18,8 @@ def write_stage(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """A small result table as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
