@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from topicloom.functions.vectors import as_vector, to_matrix, unit
+from topicloom.functions.vectors import to_matrix, unit
 from topicloom.session import materialize
 
 BLOCK_ROWS = 4096
@@ -28,14 +28,14 @@ ANGLE_SLACK = 1e-6
 Kernel = Callable[[pa.Table, pa.Table, bool], pa.Table]
 
 
-def spread_parts(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Adds ``part`` (block of the row) and ``parts`` (blocks in the table); the table is written first."""
-    points = materialize(points, "points")
-    rows = points.count()
+def spread_parts(points: DataFrame, rows: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Adds ``part`` (block of the row) and ``parts`` (blocks in the table). A table whose size is not known is written first."""
+    if rows is None:
+        points = materialize(points, "points")
+        rows = points.count()
     parts = max(1, -(-rows // block_rows))
-    return points.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn(
-        "parts", F.lit(parts)
-    )
+    part = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
+    return points.withColumn("part", part).withColumn("parts", F.lit(parts))
 
 
 def _meet(left: DataFrame, right: DataFrame, keys: list[str], kernel: Kernel, schema: T.StructType) -> DataFrame:
@@ -74,22 +74,24 @@ class Cells:
         """``points``: ``grp``, ``id``, ``embedding`` and any further columns a kernel needs."""
         extra = [c for c in points.columns if c not in ("grp", "id", "embedding")]
         units = materialize(points.select("grp", "id", *extra, unit(F.col("embedding")).alias("vec")), "units")
-        rows = units.count()
-        wanted = min(MAX_PIVOTS, max(1, -(-rows // block_rows)))
-        picked = (
-            units.select(as_vector(F.col("vec")).alias("vec"), F.xxhash64("id").alias("h"), "id")
-            .orderBy("h", "id").limit(wanted).collect()
-        )
-        self.spark = points.sparkSession
-        self.pivots = np.array([r["vec"] for r in picked]) if picked else np.zeros((1, 1))
-        self.rows = rows
+        self.rows = units.count()
         self.extra = extra
+        self.spark = points.sparkSession
+        self.pivots = np.zeros((1, 1))
+        if self.rows <= block_rows:
+            # Everything fits one block, so each group is one cell with one part.
+            self.points = units.withColumns({"cell": F.lit(0), "part": F.lit(0)})
+            self.sizes = units.select("grp").distinct().withColumns(
+                {"cell": F.lit(0), "parts": F.lit(1), "radius": F.lit(float(np.pi))}
+            )
+            return
+        wanted = min(MAX_PIVOTS, -(-self.rows // block_rows))
+        picked = units.select("vec", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(wanted).collect()
+        self.pivots = np.array([r["vec"] for r in picked])
         placed = self._place(units)
         sizes = placed.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius"))
-        self.sizes = materialize(
-            sizes.withColumn("parts", F.ceil(F.col("n") / block_rows).cast("int")), "cells"
-        )
-        # A block table has one row per (group, cell): at most MAX_PIVOTS rows per group. Its size decides the join.
+        # One row per (group, cell): at most MAX_PIVOTS rows per group. Its size decides the join.
+        self.sizes = materialize(sizes.withColumn("parts", F.ceil(F.col("n") / block_rows).cast("int")), "cells")
         self.points = materialize(
             placed.join(self.sizes.select("grp", "cell", "parts"), ["grp", "cell"])
             .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
@@ -98,8 +100,6 @@ class Cells:
         )
 
     def _place(self, units: DataFrame) -> DataFrame:
-        if len(self.pivots) == 1:
-            return units.withColumn("cell", F.lit(0)).withColumn("angle", F.lit(float(np.pi)))
         pivots = self.pivots
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +139,8 @@ class Cells:
             best_sim = F.cos(F.greatest(gap - ANGLE_SLACK, F.lit(0.0)))
             own = F.col("cell_a") == F.col("cell_b")
             pairs = pairs.where(own | (best_sim >= F.least("bound_a", "bound_b")))
-        return pairs.select("grp", "cell_a", "parts_a", "cell_b", "parts_b")
+        pairs = pairs.select("grp", "cell_a", "parts_a", "cell_b", "parts_b")
+        return pairs if len(self.pivots) == 1 else materialize(pairs, "cell-pairs")
 
     def self_join(self, kernel: Kernel, schema: T.StructType, pairs: DataFrame, points: DataFrame | None = None, diagonal: bool = False):
         """Run ``kernel`` once per unordered pair of blocks in ``pairs``; ``same`` tells a block meeting itself."""

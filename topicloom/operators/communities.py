@@ -10,7 +10,7 @@ from topicloom.operators.ranking import dense_ids
 from topicloom.session import materialize
 
 MIN_GAIN = 1e-4
-PATIENCE = 3
+PATIENCE = 2
 MAX_ROUNDS = 30
 MAX_LEVELS = 20
 
@@ -56,35 +56,41 @@ def _local_moves(edges: DataFrame, nodes: DataFrame, total: float) -> tuple[Data
     community before anything is compared.
     """
     best_state, best_q, last_q, idle = nodes, None, None, 0
-    for turn in range(MAX_ROUNDS):
-        at = nodes.select(F.col("id").alias("dst"), F.col("comm").alias("near"))
-        links = edges.join(at, "dst").groupBy("src", "near").agg(F.sum("w").alias("k"))
-        own = nodes.select(F.col("id").alias("src"), F.col("comm").alias("near"), F.lit(0.0).alias("k"))
-        options = links.unionByName(own).groupBy("src", "near").agg(F.sum("k").alias("k"))
-        totals = nodes.groupBy(F.col("comm").alias("near")).agg(F.sum("deg").alias("tot"))
-        here = F.col("near") == F.col("comm")
-        rest = F.col("tot") - F.when(here, F.col("deg")).otherwise(0.0)
-        scored = (
-            options.join(nodes.withColumnRenamed("id", "src"), "src")
-            .join(totals, "near")
-            .withColumn("gain", F.round(F.col("k") - F.col("deg") * rest / total, 10))
+    nodes = nodes.selectExpr("*", "0 AS turn")
+    for _ in range(MAX_ROUNDS):
+        totals = nodes.groupBy("comm").agg(F.expr("sum(deg) AS tot"))
+        placed = nodes.join(totals, "comm").selectExpr("id", "comm AS near", "tot")
+        near = edges.join(placed.withColumnRenamed("id", "dst"), "dst").select("src", "near", "tot", "w")
+        own = placed.selectExpr("id AS src", "near", "tot", "0D AS w")
+        options = near.union(own).groupBy("src", "near").agg(F.expr("sum(w) AS k"), F.expr("first(tot) AS tot"))
+        scored = options.join(nodes.withColumnRenamed("id", "src"), "src").selectExpr(
+            "*", "near = comm AS here", f"round(k - deg * (tot - if(near = comm, deg, 0D)) / {total!r}D, 10) AS gain"
         )
         choice = scored.groupBy("src").agg(
-            F.min(F.struct((-F.col("gain")).alias("minus"), "near")).alias("best"),
-            F.max(F.when(here, F.col("gain"))).alias("stay"),
-            F.max(F.when(here, F.col("k"))).alias("inside"),
-            *[F.first(c).alias(c) for c in ("loop", "deg", "comm")],
+            *map(
+                F.expr,
+                (
+                    "min(struct(-gain AS minus, near)) AS best",
+                    "max(if(here, gain, null)) AS stay",
+                    "max(if(here, k, null)) AS inside",
+                    "max(if(here, tot, null)) AS tot",
+                    "first(loop) AS loop",
+                    "first(deg) AS deg",
+                    "first(comm) AS comm",
+                    "first(turn) AS turn",
+                ),
+            )
         )
-        turn_now = F.pmod(F.xxhash64("src", F.lit(turn)), F.lit(2)) == 0
-        better = -F.col("best.minus") > F.col("stay")
-        moved = F.when(better & turn_now, F.col("best.near")).otherwise(F.col("comm"))
+        # The round is a column, not a constant, so that every round runs the same generated code.
         state = materialize(
-            choice.select(F.col("src").alias("id"), "loop", "deg", "comm", moved.alias("next"), "inside", better.alias("wants")), "moves"
+            choice.selectExpr(
+                "src AS id", "loop", "deg", "comm", "turn + 1 AS turn", "inside", "tot", "-best.minus > stay AS wants",
+                "if(-best.minus > stay AND pmod(xxhash64(src, turn), 2) = 0, best.near, comm) AS next",
+            ),
+            "moves",
         )
-        per = state.groupBy("comm").agg(
-            F.sum(F.col("inside") + F.col("loop")).alias("within"), F.sum("deg").alias("tot"), F.count_if("wants").alias("wants")
-        )
-        seen = per.agg(F.sum("within").alias("within"), F.sum(F.col("tot") * F.col("tot")).alias("squares"), F.sum("wants").alias("wants")).first()
+        # Summed over nodes, degree times community total is the sum of squared totals.
+        seen = state.selectExpr("sum(inside + loop) AS within", "sum(deg * tot) AS squares", "count_if(wants) AS wants").first()
         q = seen["within"] / total - seen["squares"] / (total * total)
         if best_q is None or q > best_q:
             best_q, best_state = q, state.select("id", "loop", "deg", "comm")
@@ -92,7 +98,7 @@ def _local_moves(edges: DataFrame, nodes: DataFrame, total: float) -> tuple[Data
         last_q = q
         if not seen["wants"] or idle >= PATIENCE:
             break
-        nodes = state.select("id", "loop", "deg", F.col("next").alias("comm"))
+        nodes = state.selectExpr("id", "loop", "deg", "next AS comm", "turn")
     return best_state, best_q
 
 

@@ -10,39 +10,32 @@ from topicloom.session import materialize
 MAX_ROUNDS = 100
 
 
-def _digest(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*edges.columns)).alias("h")).first()
-    return row["n"], row["h"]
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are disjoint stars: every node points at most once, and no node is both pointer and target."""
+    ends = edges.selectExpr("part", "u AS node", "1 AS out", "0 AS into").union(edges.selectExpr("part", "v AS node", "0 AS out", "1 AS into"))
+    per_node = ends.groupBy("part", "node").agg(F.expr("sum(out) AS out"), F.expr("max(into) AS into"))
+    return per_node.where("out > 1 OR (out > 0 AND into > 0)").isEmpty()
 
 
 def connected_components(links: DataFrame) -> DataFrame:
     """``part, src, dst`` links -> ``part, id, root`` for every linked node; the root is the smallest id.
 
     Each round points all larger neighbours of a node, then the node itself, at the smallest neighbour. Minima are
-    combined before the shuffle and neighbours never gathered, so a hub with most of the links stays cheap.
+    combined before the shuffle and neighbours never gathered, so a hub with most of the links stays cheap. Links that
+    are stars already need no round.
     """
-    start = links.where(F.col("src") != F.col("dst")).select(
-        "part", F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")
-    )
+    start = links.where("src <> dst").selectExpr("part", "greatest(src, dst) AS u", "least(src, dst) AS v")
     edges = materialize(start.distinct(), "links")
-    seen = _digest(edges)
     for _ in range(MAX_ROUNDS):
-        if seen[0] == 0:
+        if _settled(edges):
             break
-        both = edges.unionByName(edges.select("part", F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("part", "u").agg(F.min("v").alias("m")).select("part", "u", F.least("u", "m").alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(low, ["part", "u"]).select("part", F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.where(F.col("u") != F.col("v")).distinct(), "large")
-        least = large.groupBy("part", "u").agg(F.min("v").alias("m"))
-        down = large.join(least, ["part", "u"]).where(F.col("v") != F.col("m")).select("part", F.col("v").alias("u"), F.col("m").alias("v"))
-        small = down.unionByName(least.select("part", "u", F.col("m").alias("v")))
-        edges = materialize(small.distinct(), "small")
-        now = _digest(edges)
-        if now == seen:
-            break
-        seen = now
+        both = edges.union(edges.selectExpr("part", "v AS u", "u AS v"))
+        low = both.groupBy("part", "u").agg(F.expr("min(v) AS m")).selectExpr("part", "u", "least(u, m) AS m")
+        large = both.where("v > u").join(low, ["part", "u"]).selectExpr("part", "v AS u", "m AS v").distinct()
+        least = large.groupBy("part", "u").agg(F.expr("min(v) AS m"))
+        down = large.join(least, ["part", "u"]).where("v <> m").selectExpr("part", "v AS u", "m AS v")
+        edges = materialize(down.union(least.selectExpr("part", "u", "m AS v")).distinct(), "links")
     else:
         raise RuntimeError("components did not settle")
-    members = edges.groupBy("part", F.col("u").alias("id")).agg(F.min("v").alias("root"))
-    roots = members.select("part", F.col("root").alias("id"), "root").distinct()
-    return members.unionByName(roots)
+    members = edges.selectExpr("part", "u AS id", "v AS root")
+    return members.union(members.selectExpr("part", "root AS id", "root").distinct())

@@ -123,7 +123,7 @@ def density_runs(posts: DataFrame, settings: Sequence[DensitySetting], block_row
     cells = Cells(points, block_rows) if block_rows else Cells(points)
     grp, node = cells.points.schema["grp"], cells.points.schema["id"]
     limits = sorted({s.min_sim for s in settings})
-    pairs = materialize(cells.cell_pairs(min_sim=limits[0]), "pairs")
+    pairs = cells.cell_pairs(min_sim=limits[0])
 
     counts_schema = T.StructType([grp, node] + [T.StructField(f"c{i}", T.LongType()) for i in range(len(limits))])
     counts = cells.self_join(_count_kernel(limits), counts_schema, pairs)

@@ -41,39 +41,37 @@ def ward_merges(centroids: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("other", T.LongType()), T.StructField("height", T.DoubleType())])
     merges, left, step = None, clusters.count(), 0
     while left > 1:
-        blocks = spread_parts(clusters)
+        blocks = spread_parts(clusters, left)
         near = pair_up(blocks, blocks, _nearest_kernel, schema)
         near = near.groupBy("id").agg(F.min(F.struct("height", "other")).alias("m")).select("id", "m.height", "m.other")
         near = materialize(near, "ward-near")
         back = near.select(F.col("id").alias("other"), F.col("other").alias("id"))
-        pairs = near.join(back, ["id", "other"]).where(F.col("id") < F.col("other"))
-        pairs = materialize(pairs.select(F.lit(step).alias("step"), F.col("id").alias("a"), F.col("other").alias("b"), "height"), "ward-pairs")
-        made = pairs.count()
-        if not made:
+        pairs = near.join(back, ["id", "other"]).where(F.col("id") < F.col("other")).select("id", "other", "height")
+        grown = materialize(_join_pairs(clusters, pairs), "ward")
+        now = grown.count()
+        if now == left:
             # A cycle of equal distances: take its lowest link.
-            pairs = materialize(
-                near.orderBy("height", F.least("id", "other"), F.greatest("id", "other")).limit(1).select(
-                    F.lit(step).alias("step"), F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), "height"
-                ),
-                "ward-pairs",
-            )
-            made = 1
-        merges = pairs if merges is None else merges.unionByName(pairs)
-        heads = pairs.select(F.col("a").alias("id"), F.col("b"))
-        absorbed = clusters.join(pairs.select(F.col("b").alias("id")), "id", "left_anti")
-        tails = clusters.select(F.col("id").alias("b"), F.col("n").alias("n2"), F.col("vec").alias("vec2"))
-        grown = absorbed.join(heads.join(tails, "b"), "id", "left")
-        total = F.col("n") + F.col("n2")
-        mean = F.zip_with("vec", "vec2", lambda x, y: (x * F.col("n") + y * F.col("n2")) / total)
-        clusters = materialize(
-            grown.select("id", F.when(F.col("n2").isNull(), F.col("n")).otherwise(total).alias("n"), F.when(F.col("n2").isNull(), F.col("vec")).otherwise(mean).alias("vec")),
-            "ward",
-        )
-        left -= made
-        step += 1
+            link = near.select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other"), "height")
+            pairs = link.orderBy("height", "id", "other").limit(1)
+            grown = materialize(_join_pairs(clusters, pairs), "ward")
+            now = left - 1
+        made = pairs.select(F.lit(step).alias("step"), F.col("id").alias("a"), F.col("other").alias("b"), "height")
+        merges = made if merges is None else merges.unionByName(made)
+        clusters, left, step = grown, now, step + 1
     return merges if merges is not None else spark.createDataFrame([], "step int, a long, b long, height double")
 
 
+def _join_pairs(clusters: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The clusters with each pair replaced by its weighted mean under the smaller id."""
+    kept = clusters.join(pairs.select(F.col("other").alias("id")), "id", "left_anti")
+    tails = clusters.select(F.col("id").alias("other"), F.col("n").alias("n2"), F.col("vec").alias("vec2"))
+    grown = kept.join(pairs.select("id", "other").join(tails, "other"), "id", "left")
+    total = F.col("n") + F.col("n2")
+    mean = F.zip_with("vec", "vec2", lambda x, y: (x * F.col("n") + y * F.col("n2")) / total)
+    alone = F.col("n2").isNull()
+    return grown.select("id", F.when(alone, F.col("n")).otherwise(total).alias("n"), F.when(alone, F.col("vec")).otherwise(mean).alias("vec"))
+
+
 def ward_groups(centroids: DataFrame, groups: int) -> DataFrame:
     """``topic, l1_id``: topics cut into ``groups`` groups (all apart when there are fewer topics).
 

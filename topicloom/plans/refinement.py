@@ -117,13 +117,7 @@ def refine(
     )
     checked = materialize(checked, "split-checked")
     chosen = checked.where((F.col("decision") == "split") & (F.col("size") >= MIN_ROWS))
-    sides = materialize(split_topics(rows.select("post_id", "topic", "embedding"), chosen), "split-sides")
-    halves = sides.select("topic", "side").distinct().join(chosen.select("topic", "rank"), "topic")
-    ids = materialize(new_split_ids(halves, next_topic_id(rows, empty=0)), "split-ids")
-    moved = sides.join(ids, ["topic", "side"]).select("post_id", "new_topic")
-    rows = materialize(
-        rows.join(moved, "post_id", "left").withColumn("topic", F.coalesce("new_topic", "topic")).drop("new_topic"), "refine-split"
-    )
+    rows, ids = _apply_splits(rows, chosen)
 
     pairs = materialize(merge_candidates(rows, merge_similarity, merge_limit), "merge-pairs")
     had_pairs = not pairs.isEmpty()
@@ -144,6 +138,18 @@ def refine(
     return Refined(scored, refinement_report(checked, ids, asked, had_pairs))
 
 
+def _apply_splits(rows: DataFrame, chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with approved topics cut in two, and the table ``topic, side, new_topic``."""
+    if chosen.isEmpty():
+        return rows, rows.select("topic", F.lit(0).alias("side"), F.lit(0).alias("new_topic")).limit(0)
+    sides = materialize(split_topics(rows.select("post_id", "topic", "embedding"), chosen), "split-sides")
+    halves = sides.select("topic", "side").distinct().join(chosen.select("topic", "rank"), "topic")
+    ids = materialize(new_split_ids(halves, next_topic_id(rows, empty=0)), "split-ids")
+    moved = sides.join(ids, ["topic", "side"]).select("post_id", "new_topic")
+    cut = rows.join(moved, "post_id", "left").withColumn("topic", F.coalesce("new_topic", "topic")).drop("new_topic")
+    return materialize(cut, "refine-split"), ids
+
+
 def relabel(rows: DataFrame) -> DataFrame:
     """Topics renumbered from 0 by their smallest post id; noise stays."""
     firsts = rows.where(F.col("topic") != -1).groupBy("topic").agg(F.min("post_id").alias("first_post"))
