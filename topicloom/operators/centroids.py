@@ -43,15 +43,17 @@ def fetch_small(df: DataFrame, vector: str) -> list | None:
 
 
 def best_columns(sims: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per row the ``n`` largest entries, first column wins ties; works on a scratch copy."""
+    """Per row the ``n`` largest entries, first column wins ties; minus infinity marks a row that has no more."""
     work = sims.copy()
     n = min(n, sims.shape[1])
     where = np.empty((sims.shape[0], n), dtype=np.int64)
+    scores = np.empty((sims.shape[0], n))
     rows = np.arange(sims.shape[0])
     for j in range(n):
         where[:, j] = np.argmax(work, axis=1)
+        scores[:, j] = work[rows, where[:, j]]
         work[rows, where[:, j]] = -np.inf
-    return where, np.take_along_axis(sims, where, axis=1)
+    return where, scores
 
 
 def top_n_topics(posts: DataFrame, centroids: DataFrame, top_n: int, keep: Sequence[str] = ("post_id",)) -> DataFrame:

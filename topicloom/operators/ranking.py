@@ -54,7 +54,7 @@ def sample_exact(df: DataFrame, rows: int, seed: int, key: str = "post_id") -> D
     place = F.xxhash64(F.col(key), F.lit(seed))
     if rows <= SORTED_SAMPLE:
         return df.orderBy(place, F.col(key)).limit(rows)
-    reach = F.shiftrightunsigned(place, 64 - RANGE_BITS)
+    reach = F.shiftright(place, 64 - RANGE_BITS)
     counts = df.groupBy(reach.alias("range")).agg(F.count(F.lit(1)).alias("n")).collect()
     left = rows
     for range_no, n in sorted((r["range"], r["n"]) for r in counts):
