@@ -267,7 +267,10 @@ def _(t: Tables):
     return top_scored_posts(t.event_posts().select("topic", "post_id", "score"), 20)
 
 
-SP = X.SPACE
+# The white space of the trimming functions, as an SQL pattern.
+SP = (
+    r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 
 
 def trimmed(expression: str) -> str:

@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the characters counted as white space when text is trimmed.
-SPACE = (
-    r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPACES = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 # Separators, limits and prefixes of the text formats.
 EXAMPLE_SEPARATOR = "\n---\n"
@@ -72,7 +73,7 @@ KEYWORD_PROMPT = (
 
 def strip(text: Column) -> Column:
     """Trim white space at both ends."""
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def non_empty(text: Column) -> Column:
@@ -93,7 +94,7 @@ def title_and_body(title: Column, body: Column) -> Column:
 def make_excerpt(title: Column, body: Column, limit: int = EXCERPT_LIMIT) -> Column:
     """The joined text; when longer than ``limit``, cut there, right-trimmed, and marked with dots."""
     text = title_and_body(title, body)
-    cut = F.regexp_replace(F.substring(text, 1, limit), rf"{SPACE}+\z", "")
+    cut = F.rtrim(F.substring(text, 1, limit), F.lit(SPACES))
     return F.when(F.char_length(text) <= limit, text).otherwise(F.concat(cut, F.lit("...")))
 
 
@@ -104,15 +105,21 @@ def build_permalink(link: Column, prefix: str = SITE_PREFIX) -> Column:
 
 
 def _drop_json_word(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^(?i:json){SPACE}*", "")
+    """Trimmed text without a leading ``json``."""
+    rest = F.ltrim(F.substr(text, F.lit(5)), F.lit(SPACES))
+    return F.when(F.lower(F.substring(text, 1, 4)) == "json", rest).otherwise(text)
+
+
+FENCE = "```"
 
 
 def strip_code_fences(text: Column) -> Column:
     """Reply text without a Markdown fence, leading quotes, or the word ``json`` before or after them."""
-    inside = F.regexp_replace(
-        strip(F.coalesce(text, F.lit(""))), rf"(?is)^```(?:json)?{SPACE}*(.*?){SPACE}*```\z", "$1"
-    )
-    unquoted = F.regexp_replace(_drop_json_word(strip(inside)), rf"^['\"]+{SPACE}*", "")
+    trimmed = strip(F.coalesce(text, F.lit("")))
+    fenced = trimmed.startswith(FENCE) & trimmed.endswith(FENCE) & (F.char_length(trimmed) >= 6)
+    inside = strip(F.substr(trimmed, F.lit(4), F.char_length(trimmed) - 6))
+    body = F.when(fenced, strip(_drop_json_word(inside))).otherwise(trimmed)
+    unquoted = F.ltrim(F.ltrim(_drop_json_word(body), F.lit("'\"")), F.lit(SPACES))
     return _drop_json_word(unquoted)
 
 
@@ -132,17 +139,19 @@ def reply_value(text: Column, key: str | None = None) -> Column:
 
 def _unfence(text: Column) -> Column:
     trimmed = strip(text)
-    bare = F.when(trimmed.startswith("```"), strip(F.regexp_replace(trimmed, r"^`+|`+\z", ""))).otherwise(trimmed)
+    bare = F.when(trimmed.startswith(FENCE), strip(F.btrim(trimmed, F.lit("`")))).otherwise(trimmed)
     return _drop_json_word(bare)
 
 
 def clean_label(text: Column) -> Column:
     """Label text without fence, leading ``json``, and outer quotes or spaces."""
-    return F.regexp_replace(_unfence(text), r"^['\" ]+|['\" ]+\z", "")
+    return F.btrim(_unfence(text), F.lit("'\" "))
 
 
 def _braced(text: Column) -> Column:
-    return F.regexp_substr(text, F.lit(r"(?s)\{.*\}"))
+    first = F.instr(text, "{")
+    last = F.char_length(text) - F.instr(F.reverse(text), "}") + 1
+    return F.when((first > 0) & (last > first) & F.contains(text, F.lit("}")), F.substr(text, first, last - first + 1))
 
 
 def json_block(text: Column) -> Column:

@@ -27,25 +27,34 @@ POST_COLUMNS = ("post_id", "title", "body", "score", "subreddit", "permalink", "
 SHOWN_POSTS = 20
 
 
-def prepare_posts(canonical: DataFrame, clusters: DataFrame, topic_to_l1: DataFrame, prefix: str = SITE_PREFIX) -> DataFrame:
-    """Clustered posts of mapped topics with score, link and excerpt.
+def grouped_posts(posts: DataFrame, clusters: DataFrame, topic_to_l1: DataFrame) -> DataFrame:
+    """Posts with ``topic``, ``l2_id`` and ``l1_id``; posts of topics without a mapping drop out.
 
-    ``topic_to_l1``: ``l2_topic, l1_id``. With a ``parent_topic`` column the parent decides the group. Topics without
-    a mapping drop out; an absent score counts as 0.
+    ``topic_to_l1``: ``l2_topic, l1_id``. With a ``parent_topic`` column the parent decides the group.
     """
     wanted = ["post_id", "topic"] + (["parent_topic"] if "parent_topic" in clusters.columns else [])
-    rows = project_existing(canonical, POST_COLUMNS).join(clusters.select(*wanted), "post_id")
-    rows = rows.withColumn("l2_id", F.col(wanted[-1]))
+    rows = posts.join(clusters.select(*wanted), "post_id").withColumn("l2_id", F.col(wanted[-1]))
     mapping = topic_to_l1.where(F.col("l2_topic").isNotNull() & F.col("l1_id").isNotNull())
-    rows = rows.join(mapping.select(F.col("l2_topic").alias("l2_id"), "l1_id"), "l2_id")
-    score = numeric_score(F.col("score")) if "score" in rows.columns else F.lit(0.0)
-    link = F.col("permalink") if "permalink" in rows.columns else F.lit(None).cast("string")
-    part = {c: F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in ("title", "body")}
+    return rows.join(mapping.select(F.col("l2_topic").alias("l2_id"), "l1_id"), "l2_id")
+
+
+def _score(df: DataFrame):
+    return numeric_score(F.col("score")) if "score" in df.columns else F.lit(0.0)
+
+
+def with_previews(rows: DataFrame, prefix: str = SITE_PREFIX) -> DataFrame:
+    """Posts with score as a number, absolute link and excerpt; absent columns count as empty."""
+    text = {c: F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in ("title", "body", "permalink")}
     return rows.withColumns(
-        {"score": score, "permalink": build_permalink(link, prefix), "excerpt": make_excerpt(part["title"], part["body"])}
+        {"score": _score(rows), "permalink": build_permalink(text["permalink"], prefix), "excerpt": make_excerpt(text["title"], text["body"])}
     )
 
 
+def prepare_posts(canonical: DataFrame, clusters: DataFrame, topic_to_l1: DataFrame, prefix: str = SITE_PREFIX) -> DataFrame:
+    """Clustered posts of mapped topics with score, link and excerpt; an absent score counts as 0."""
+    return with_previews(grouped_posts(project_existing(canonical, POST_COLUMNS), clusters, topic_to_l1), prefix)
+
+
 def clean_hierarchy(hierarchy: DataFrame) -> DataFrame:
     """The hierarchy with labels and summaries taken out of their replies."""
     return hierarchy.withColumns({c: reply_value(F.coalesce(c, F.lit("")), c) for c in ("label", "summary")})
@@ -92,34 +101,42 @@ def label_review(
     """
     tree = ordered_hierarchy(clean_hierarchy(hierarchy), l2_labels)
     mapping = hierarchy.where(F.col("level") == "L2").select("l2_topic", "l1_id")
-    posts = prepare_posts(canonical, clusters, mapping)
-    seen = ["post_id", "score", "excerpt", "permalink"] + (["subreddit"] if "subreddit" in posts.columns else [])
-    l1_posts = top_scored_posts(posts.select("l1_id", *seen), shown, ["l1_id"])
-    l2_posts = top_scored_posts(posts.select("l2_id", *seen), shown, ["l2_id"]).withColumnRenamed("l2_id", "l2_topic")
+    # Ids and scores are ranked first; text is read and cut only for the posts that are shown.
+    scored = canonical.select("post_id", _score(canonical).alias("score"))
+    posts = grouped_posts(scored, clusters, mapping)
     none = F.lit(None).cast("int")
+    l1_posts = top_scored_posts(posts.select("l1_id", "post_id", "score"), shown, ["l1_id"])
+    l2_posts = top_scored_posts(posts.select("l2_id", "post_id", "score"), shown, ["l2_id"]).withColumnRenamed("l2_id", "l2_topic")
     l1 = tree.where(F.col("level") == "L1").join(l1_posts, "l1_id", "left")
     l2 = tree.where(F.col("level") == "L2").join(l2_posts, "l2_topic", "left")
     out = l1.unionByName(l2).withColumn("l3_topic", none)
     if l3_clusters is not None:
-        sizes = topic_sizes(l3_clusters).select(F.col("topic").alias("l3_topic"), F.col("size").alias("l3_size"))
-        l3_posts = prepare_posts(canonical, l3_clusters, mapping)
-        best = top_scored_posts(l3_posts.select("l2_id", "topic", *seen), shown, ["l2_id", "topic"])
-        best = best.withColumnsRenamed({"l2_id": "l2_topic", "topic": "l3_topic"})
-        l3 = tree.where(F.col("level") == "L2").drop("label", "summary", "size", "level").join(best, "l2_topic")
-        l3 = l3.join(sizes, "l3_topic", "left").withColumn("size", F.coalesce("l3_size", F.lit(0))).drop("l3_size")
-        if l3_labels is not None:
-            l3 = l3.join(l3_labels.withColumnRenamed("topic", "l3_topic"), "l3_topic", "left")
-        else:
-            l3 = l3.withColumns({"label": F.lit(None).cast("string"), "summary": F.lit(None).cast("string")})
-        l3 = l3.withColumns(
-            {
-                "level": F.lit("L3"),
-                "label": first_of(F.col("label"), default_label("L3", F.col("l3_topic"))),
-                "summary": F.coalesce("summary", F.lit("")),
-            }
-        )
-        out = out.unionByName(l3)
-    return out.select("level", "l1_rank", "l2_rank", "l1_id", "l2_topic", "l3_topic", "size", "label", "summary", "rank", *seen)
+        out = out.unionByName(_third_level(tree, scored, l3_clusters, l3_labels, mapping, shown))
+    kept = ["level", "l1_rank", "l2_rank", "l1_id", "l2_topic", "l3_topic", "size", "label", "summary", "rank", "post_id", "score"]
+    details = project_existing(canonical, [c for c in POST_COLUMNS if c not in ("score", "date")])
+    seen = [c for c in ("subreddit",) if c in details.columns]
+    # The posts on show are few (groups times ``shown``): the canonical table keeps only theirs before the left join.
+    ids = out.where(F.col("post_id").isNotNull()).select("post_id").distinct()
+    previews = with_previews(details.join(ids, "post_id", "left_semi")).select("post_id", "excerpt", "permalink", *seen)
+    return out.select(*kept).join(previews, "post_id", "left").select(*kept, "excerpt", "permalink", *seen)
+
+
+def _third_level(tree: DataFrame, scored: DataFrame, l3_clusters: DataFrame, l3_labels: DataFrame | None, mapping: DataFrame, shown: int):
+    sizes = topic_sizes(l3_clusters).select(F.col("topic").alias("l3_topic"), F.col("size").alias("l3_size"))
+    posts = grouped_posts(scored, l3_clusters, mapping).select("l2_id", "topic", "post_id", "score")
+    best = top_scored_posts(posts, shown, ["l2_id", "topic"]).withColumnsRenamed({"l2_id": "l2_topic", "topic": "l3_topic"})
+    l3 = tree.where(F.col("level") == "L2").select("l1_rank", "l2_rank", "l1_id", "l2_topic").join(best, "l2_topic")
+    l3 = l3.join(sizes, "l3_topic", "left").withColumn("size", F.coalesce("l3_size", F.lit(0))).drop("l3_size")
+    if l3_labels is not None:
+        l3 = l3.join(l3_labels.select(F.col("topic").alias("l3_topic"), "label", "summary"), "l3_topic", "left")
+    else:
+        l3 = l3.withColumns({"label": F.lit(None).cast("string"), "summary": F.lit(None).cast("string")})
+    named = {
+        "level": F.lit("L3"),
+        "label": first_of(F.col("label"), default_label("L3", F.col("l3_topic"))),
+        "summary": F.coalesce("summary", F.lit("")),
+    }
+    return l3.withColumns(named)
 
 
 def growth_review(
@@ -140,9 +157,11 @@ def growth_review(
 
 def growing_posts(canonical: DataFrame, clusters: DataFrame, topics: DataFrame, shown: int = SHOWN_POSTS) -> DataFrame:
     """Top posts of the chosen topics among their dated posts."""
-    rows = dated_topics(clusters, project_existing(canonical, POST_COLUMNS))
-    mine = rows.join(topics.select("topic").distinct(), "topic", "left_semi").withColumn("score", numeric_score(F.col("score")))
-    return top_scored_posts(mine, shown)
+    rows = dated_topics(clusters, canonical.select("post_id", "date", _score(canonical).alias("score")))
+    mine = rows.join(topics.select("topic").distinct(), "topic", "left_semi")
+    best = top_scored_posts(mine.select("topic", "post_id", "score"), shown)
+    details = project_existing(canonical, [c for c in POST_COLUMNS if c != "score"])
+    return with_previews(best.join(details, "post_id"))
 
 
 def keyword_growth(canonical: DataFrame, l3_clusters: DataFrame, keywords: DataFrame, window_days: int = 90) -> tuple[DataFrame, DataFrame]:
