@@ -50,11 +50,10 @@ def spark_pattern(strftime: str) -> str:
     return "".join(out)
 
 
-def from_epoch(value: Column, unit: str | Column = "s") -> Column:
+def from_epoch(value: Column, unit: str = "s") -> Column:
     """Epoch number -> timestamp without zone; out of range or unreadable -> null."""
-    per_second = F.lit(UNITS_PER_SECOND[unit]) if isinstance(unit, str) else unit
     number = value.try_cast("decimal(28,6)")
-    seconds = (number / per_second.cast("decimal(10,0)")).cast("decimal(28,6)")
+    seconds = (number / F.lit(UNITS_PER_SECOND[unit]).cast("decimal(10,0)")).cast("decimal(28,6)")
     safe = F.when(F.abs(seconds) <= MAX_EPOCH_SECONDS, seconds.cast("decimal(18,6)"))
     origin = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
     return origin + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), safe)
@@ -84,8 +83,6 @@ def coerce_dates(df: DataFrame, column: str) -> DataFrame:
         return df
     if not isinstance(kind, T.NumericType):
         return df.withColumn(column, F.col(column).try_cast("timestamp_ntz"))
-    # One row by construction: a global aggregate attached to every row without a shuffle of the rows.
-    top = df.agg(F.max(F.when(~F.isnan(F.col(column).cast("double")), F.col(column))).alias("__top"))
-    unit = F.when(F.col("__top") > MILLISECOND_GUESS, F.lit(1_000)).otherwise(F.lit(1))
-    columns = [from_epoch(F.col(c), unit).alias(c) if c == column else F.col(c) for c in df.columns]
-    return df.join(F.broadcast(top)).select(*columns)
+    top = df.agg(F.max(F.when(~F.isnan(F.col(column).cast("double")), F.col(column))).alias("top")).first()["top"]
+    unit = "ms" if top is not None and top > MILLISECOND_GUESS else "s"
+    return df.withColumn(column, from_epoch(F.col(column), unit))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from topicloom.functions.dates import coerce_dates
 
@@ -28,29 +29,34 @@ def summary(df: DataFrame) -> DataFrame:
 def growth_counts(df: DataFrame, windows: Sequence[int], topic: str = "topic", date: str = "date") -> DataFrame:
     """``window_days``, topic, recent and prior counts, absolute and relative change, for every window.
 
-    The last date is one row joined to all; each post contributes to the windows that hold it and is counted on
-    the map side, so a topic with most of the posts costs no more than another.
+    The last date is read first and enters the second pass as a constant, so that the scan skips everything older
+    than the longest window. Counts of all windows are taken side by side and combined on the map side; a topic with
+    most of the posts costs no more than another.
     """
     valid = df.where(F.col(date).isNotNull())
-    last = valid.agg(F.max(date).alias("__last"))
-    spans = F.array(*[F.lit(int(w)) for w in windows])
-    dated = (
-        valid.select(topic, date)
-        .join(F.broadcast(last))
-        .where(F.col(topic).isNotNull() & (F.col(date) >= F.col("__last") - F.make_interval(days=F.lit(2 * max(windows)))))
-        .withColumn("window_days", F.explode(spans))
-    )
-    recent_from = F.col("__last") - F.make_interval(days=F.col("window_days"))
-    prior_from = F.col("__last") - F.make_interval(days=F.col("window_days") * 2)
-    in_recent = F.col(date) >= recent_from
-    counted = (
-        dated.where(F.col(date) >= prior_from)
-        .groupBy("window_days", topic)
-        .agg(F.count_if(in_recent).alias("recent_count"), F.count_if(~in_recent).alias("prior_count"))
-    )
+    last = _constant(valid.agg(F.max(date).alias("last")), "last", df.schema[date].dataType)
+    back = lambda days: last - F.make_interval(days=F.lit(int(days)))
+    when = F.col(date)
+    counts = []
+    for w in windows:
+        counts.append(F.count_if(when >= back(w)).alias(f"recent_{w}"))
+        counts.append(F.count_if((when >= back(2 * w)) & (when < back(w))).alias(f"prior_{w}"))
+    recent = valid.where(F.col(topic).isNotNull() & (when >= back(2 * max(windows))))
+    wide = recent.groupBy(topic).agg(*counts)
+    rows = [
+        F.struct(F.lit(int(w)).alias("window_days"), F.col(f"recent_{w}").alias("recent_count"), F.col(f"prior_{w}").alias("prior_count"))
+        for w in dict.fromkeys(windows)
+    ]
+    counted = wide.select(topic, F.inline(F.array(*rows))).where(F.col("recent_count") + F.col("prior_count") > 0)
     change = F.col("recent_count") - F.col("prior_count")
     share = F.when(F.col("prior_count") > 0, change / F.col("prior_count"))
-    return counted.withColumn("growth_abs", change).withColumn("growth_pct", share)
+    return counted.select("window_days", topic, "recent_count", "prior_count").withColumn("growth_abs", change).withColumn("growth_pct", share)
+
+
+def _constant(one_row: DataFrame, column: str, kind: T.DataType) -> Column:
+    """The single value of a one-row aggregate as a literal of its type."""
+    value = one_row.select(F.col(column).cast("string")).first()[0]
+    return F.lit(value).cast(kind)
 
 
 def topic_growth(df: DataFrame, window_days: int, topic: str = "topic", date: str = "date") -> DataFrame:
@@ -60,11 +66,10 @@ def topic_growth(df: DataFrame, window_days: int, topic: str = "topic", date: st
 
 def growth_by_outer_join(df: DataFrame, window_days: int) -> DataFrame:
     """The same counts as two tables met by a full outer join, absent counts as 0."""
-    valid = df.where(F.col("date").isNotNull() & F.col("topic").isNotNull())
-    last = df.agg(F.max("date").alias("__last"))
-    spanned = valid.join(F.broadcast(last))
-    recent_from = F.col("__last") - F.make_interval(days=F.lit(window_days))
-    prior_from = F.col("__last") - F.make_interval(days=F.lit(2 * window_days))
+    spanned = df.where(F.col("date").isNotNull() & F.col("topic").isNotNull())
+    last = _constant(df.agg(F.max("date").alias("last")), "last", df.schema["date"].dataType)
+    recent_from = last - F.make_interval(days=F.lit(window_days))
+    prior_from = last - F.make_interval(days=F.lit(2 * window_days))
     recent = spanned.where(F.col("date") >= recent_from).groupBy("topic").agg(F.count(F.lit(1)).alias("recent_count"))
     prior = (
         spanned.where((F.col("date") >= prior_from) & (F.col("date") < recent_from))

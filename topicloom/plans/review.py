@@ -20,6 +20,7 @@ from topicloom.operators.growth import (
 )
 from topicloom.operators.labels import default_label, first_of
 from topicloom.operators.ranking import topic_sizes
+from topicloom.session import materialize
 from topicloom.sources.readers import project_existing
 
 # The post columns of a review and the rows shown per group.
@@ -99,32 +100,37 @@ def label_review(
     ``level, l1_rank, l2_rank, l1_id, l2_topic, l3_topic, size, label, summary, rank, post_id, score, excerpt,
     permalink`` and ``subreddit``; groups without posts keep one row without a post.
     """
-    tree = ordered_hierarchy(clean_hierarchy(hierarchy), l2_labels)
-    mapping = hierarchy.where(F.col("level") == "L2").select("l2_topic", "l1_id")
+    tree = materialize(ordered_hierarchy(clean_hierarchy(hierarchy), l2_labels), "review-tree")
+    mapping = tree.where(F.col("level") == "L2").select("l2_topic", "l1_id")
     # Ids and scores are ranked first; text is read and cut only for the posts that are shown.
     scored = canonical.select("post_id", _score(canonical).alias("score"))
     posts = grouped_posts(scored, clusters, mapping)
-    none = F.lit(None).cast("int")
-    l1_posts = top_scored_posts(posts.select("l1_id", "post_id", "score"), shown, ["l1_id"])
-    l2_posts = top_scored_posts(posts.select("l2_id", "post_id", "score"), shown, ["l2_id"]).withColumnRenamed("l2_id", "l2_topic")
-    l1 = tree.where(F.col("level") == "L1").join(l1_posts, "l1_id", "left")
-    l2 = tree.where(F.col("level") == "L2").join(l2_posts, "l2_topic", "left")
-    out = l1.unionByName(l2).withColumn("l3_topic", none)
+    entry = lambda level, group, sub: F.struct(F.lit(level).alias("level"), group.alias("group"), sub.alias("sub"))
+    none = F.lit(-1)
+    parts = posts.select("post_id", "score", F.explode(F.array(entry("L1", F.col("l1_id"), none), entry("L2", F.col("l2_id"), none))).alias("g"))
     if l3_clusters is not None:
-        out = out.unionByName(_third_level(tree, scored, l3_clusters, l3_labels, mapping, shown))
+        below = grouped_posts(scored, l3_clusters, mapping)
+        parts = parts.union(below.select("post_id", "score", entry("L3", F.col("l2_id"), F.col("topic")).alias("g")))
+    # One ranking serves every level.
+    best = top_scored_posts(parts.select("post_id", "score", "g.*"), shown, ["level", "group", "sub"])
+    keyed = tree.withColumn("group", F.coalesce("l2_topic", "l1_id"))
+    out = keyed.join(best.where(F.col("level") != "L3"), ["level", "group"], "left").withColumn("l3_topic", F.lit(None).cast("int"))
+    out = out.drop("group", "sub")
+    if l3_clusters is not None:
+        out = out.unionByName(_third_level(tree, best.where(F.col("level") == "L3"), l3_clusters, l3_labels))
     kept = ["level", "l1_rank", "l2_rank", "l1_id", "l2_topic", "l3_topic", "size", "label", "summary", "rank", "post_id", "score"]
     details = project_existing(canonical, [c for c in POST_COLUMNS if c not in ("score", "date")])
     seen = [c for c in ("subreddit",) if c in details.columns]
     # The posts on show are few (groups times ``shown``): the canonical table keeps only theirs before the left join.
+    out = materialize(out.select(*kept), "review-ranks")
     ids = out.where(F.col("post_id").isNotNull()).select("post_id").distinct()
     previews = with_previews(details.join(ids, "post_id", "left_semi")).select("post_id", "excerpt", "permalink", *seen)
-    return out.select(*kept).join(previews, "post_id", "left").select(*kept, "excerpt", "permalink", *seen)
+    return out.join(previews, "post_id", "left").select(*kept, "excerpt", "permalink", *seen)
 
 
-def _third_level(tree: DataFrame, scored: DataFrame, l3_clusters: DataFrame, l3_labels: DataFrame | None, mapping: DataFrame, shown: int):
+def _third_level(tree: DataFrame, best: DataFrame, l3_clusters: DataFrame, l3_labels: DataFrame | None) -> DataFrame:
     sizes = topic_sizes(l3_clusters).select(F.col("topic").alias("l3_topic"), F.col("size").alias("l3_size"))
-    posts = grouped_posts(scored, l3_clusters, mapping).select("l2_id", "topic", "post_id", "score")
-    best = top_scored_posts(posts, shown, ["l2_id", "topic"]).withColumnsRenamed({"l2_id": "l2_topic", "topic": "l3_topic"})
+    best = best.select(F.col("group").alias("l2_topic"), F.col("sub").alias("l3_topic"), "post_id", "score", "rank")
     l3 = tree.where(F.col("level") == "L2").select("l1_rank", "l2_rank", "l1_id", "l2_topic").join(best, "l2_topic")
     l3 = l3.join(sizes, "l3_topic", "left").withColumn("size", F.coalesce("l3_size", F.lit(0))).drop("l3_size")
     if l3_labels is not None:
