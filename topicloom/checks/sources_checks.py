@@ -94,7 +94,7 @@ def _(t: Tables):
 
 NEAREST = f"""WITH {VECTORS}, {centroids_sql('vectors')}, s AS (
   SELECT post_id, c.topic, list_cosine_similarity(v.embedding, c.centroid) AS sim FROM vectors v CROSS JOIN centroids c)
-SELECT post_id, topic AS topic_near, round(sim, 4) AS score_near FROM (
+SELECT post_id, topic AS topic_near, round(sim, 4) + 0 AS score_near FROM (
   SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY sim DESC, topic) AS r FROM s) WHERE r = 1"""
 
 

@@ -58,19 +58,19 @@ def long_assignments(df, keep=("post_id",)):
 
 @check(
     "topic_centroids",
-    f"WITH {CENTROIDS} SELECT topic, CAST(d - 1 AS INTEGER) AS dim, round(centroid[d], 6) AS x, size FROM centroids, (SELECT unnest(range(1, 65)) AS d)",
+    f"WITH {CENTROIDS} SELECT topic, CAST(d - 1 AS INTEGER) AS dim, round(centroid[d], 6) + 0 AS x, size FROM centroids, (SELECT unnest(range(1, 65)) AS d)",
 )
 def _(t: Tables):
     rows = topic_centroids(t.vectors())
     return rows.select("topic", "size", F.posexplode("centroid").alias("dim", "x")).withColumn("x", F.round("x", 6))
 
 
-@check("top_n_topics", f"WITH {RANKED} SELECT post_id, rank, topic AS near, round(sim, 4) AS score FROM ranked WHERE rank <= 3")
+@check("top_n_topics", f"WITH {RANKED} SELECT post_id, rank, topic AS near, round(sim, 4) + 0 AS score FROM ranked WHERE rank <= 3")
 def _(t: Tables):
     return long_assignments(top_n_topics(t.vectors(), topic_centroids(t.vectors()), 3))
 
 
-@check("nearest_topic", f"WITH {RANKED} SELECT post_id, topic AS topic_near, round(sim, 4) AS score_near FROM ranked WHERE rank = 1")
+@check("nearest_topic", f"WITH {RANKED} SELECT post_id, topic AS topic_near, round(sim, 4) + 0 AS score_near FROM ranked WHERE rank = 1")
 def _(t: Tables):
     return nearest_topic(t.vectors(), topic_centroids(t.vectors())).withColumn("score_near", F.round("score_near", 4))
 
@@ -88,12 +88,12 @@ PAIRS = f"""{CENTROIDS}, pairs AS (SELECT a.topic AS a, b.topic AS b, list_cosin
   FROM centroids a JOIN centroids b ON a.topic < b.topic)"""
 
 
-@check("similar_topics", f"WITH {PAIRS} SELECT a, b, round(sim, 4) AS sim FROM pairs WHERE sim >= 0.1")
+@check("similar_topics", f"WITH {PAIRS} SELECT a, b, round(sim, 4) + 0 AS sim FROM pairs WHERE sim >= 0.1")
 def _(t: Tables):
     return similar_pairs(topic_centroids(t.vectors()), 0.1).withColumn("sim", F.round("sim", 4))
 
 
-@check("most_similar_topics", f"WITH {PAIRS} SELECT a, b, round(sim, 4) AS sim FROM pairs WHERE sim >= -1 ORDER BY pairs.sim DESC, a, b LIMIT 7")
+@check("most_similar_topics", f"WITH {PAIRS} SELECT a, b, round(sim, 4) + 0 AS sim FROM pairs WHERE sim >= -1 ORDER BY pairs.sim DESC, a, b LIMIT 7")
 def _(t: Tables):
     return similar_pairs(topic_centroids(t.vectors()), -1.0, 7).withColumn("sim", F.round("sim", 4))
 
@@ -342,12 +342,12 @@ KNN = f"""{ALL_SIMS}, knn AS (SELECT * FROM (
   SELECT src, dst, sim, CAST(row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) AS INTEGER) AS rank FROM near) WHERE rank <= 9)"""
 
 
-@check("nearest_neighbors", f"WITH {KNN} SELECT src, dst, rank, round(sim, 4) AS sim FROM knn")
+@check("nearest_neighbors", f"WITH {KNN} SELECT src, dst, rank, round(sim, 4) + 0 AS sim FROM knn")
 def _(t: Tables):
     return nearest_neighbors(t.vectors(), 10).withColumn("sim", F.round("sim", 4))
 
 
-@check("nearest_neighbors_pruned", f"WITH {KNN} SELECT src, dst, rank, round(sim, 4) AS sim FROM knn")
+@check("nearest_neighbors_pruned", f"WITH {KNN} SELECT src, dst, rank, round(sim, 4) + 0 AS sim FROM knn")
 def _(t: Tables):
     return nearest_neighbors(t.vectors(), 10, block_rows=256).withColumn("sim", F.round("sim", 4))
 
@@ -441,7 +441,7 @@ def assignment_sql(rows: str, extra: str = "") -> str:
     return f"""{centroids_sql(rows, 'final_c')}, final_s AS (
   SELECT r.post_id, r.topic{extra}, c.topic AS near, list_cosine_similarity(r.embedding, c.centroid) AS sim FROM {rows} r CROSS JOIN final_c c),
 final_r AS (SELECT *, CAST(row_number() OVER (PARTITION BY post_id ORDER BY sim DESC, near) AS INTEGER) AS rank FROM final_s)
-SELECT post_id, topic{extra}, rank, near, round(sim, 4) AS score FROM final_r WHERE rank <= 3"""
+SELECT post_id, topic{extra}, rank, near, round(sim, 4) + 0 AS score FROM final_r WHERE rank <= 3"""
 
 
 @check("density_clusters", f"WITH RECURSIVE {FLAT}, {density_sql('d', 'flat', 0.33, 5, 3)}, {DENSE_ROWS}, {assignment_sql('labelled')}")
