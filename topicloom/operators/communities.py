@@ -9,8 +9,9 @@ from topicloom.operators.components import connected_components
 from topicloom.operators.ranking import dense_ids
 from topicloom.session import materialize
 
-MIN_GAIN = 1e-4
-PATIENCE = 2
+# A level ends after PATIENCE rounds in a row that gain less than MIN_GAIN; every round is a shuffle of all edges.
+MIN_GAIN = 1e-3
+PATIENCE = 1
 MAX_ROUNDS = 30
 MAX_LEVELS = 20
 
@@ -48,7 +49,7 @@ def modularity(edges: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def _local_moves(edges: DataFrame, nodes: DataFrame, total: float) -> tuple[DataFrame, float]:
+def _local_moves(edges: DataFrame, nodes: DataFrame, total: float, min_gain: float, patience: int) -> tuple[DataFrame, float]:
     """Move nodes between communities until modularity settles; the best state seen and its modularity.
 
     ``edges``: ``src, dst, w`` both ways. ``nodes``: ``id, loop, deg, comm``. Half of the nodes move per round, picked
@@ -94,9 +95,9 @@ def _local_moves(edges: DataFrame, nodes: DataFrame, total: float) -> tuple[Data
         q = seen["within"] / total - seen["squares"] / (total * total)
         if best_q is None or q > best_q:
             best_q, best_state = q, state.select("id", "loop", "deg", "comm")
-        idle = idle + 1 if last_q is not None and q - last_q < MIN_GAIN else 0
+        idle = idle + 1 if last_q is not None and q - last_q < min_gain else 0
         last_q = q
-        if not seen["wants"] or idle >= PATIENCE:
+        if not seen["wants"] or idle >= patience:
             break
         nodes = state.selectExpr("id", "loop", "deg", "next AS comm", "turn")
     return best_state, best_q
@@ -111,7 +112,7 @@ def _connected_parts(edges: DataFrame, state: DataFrame) -> DataFrame:
     return materialize(state.join(roots, "id", "left").select("id", "loop", "deg", F.coalesce("root", "id").alias("comm")), "connected")
 
 
-def communities(nodes: DataFrame, edges: DataFrame, connected: bool = False) -> DataFrame:
+def communities(nodes: DataFrame, edges: DataFrame, connected: bool = False, min_gain: float = MIN_GAIN, patience: int = PATIENCE) -> DataFrame:
     """``id, comm`` for every node of ``nodes`` (``id``) on ``a, b, w`` edges.
 
     Local moves, then contraction to one node per community, until modularity stops growing. With ``connected`` the
@@ -131,8 +132,8 @@ def communities(nodes: DataFrame, edges: DataFrame, connected: bool = False) ->
     level = materialize(level, "level")
     last_q = None
     for _ in range(MAX_LEVELS):
-        state, q = _local_moves(links, level, total)
-        if last_q is not None and q - last_q < MIN_GAIN:
+        state, q = _local_moves(links, level, total, min_gain, patience)
+        if last_q is not None and q - last_q < min_gain:
             break
         last_q = q
         if connected:
