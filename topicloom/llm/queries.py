@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicloom.llm import mixing, sharding
+from topicloom.llm import ann, mixing, sharding, topk
 from topicloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,14 @@ def _add(name: str, build: Callable[[SparkSession, str], DataFrame], sql: str |
         ORACLES[name] = sql
 
 
+def op1_threshold_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k_search(read(spark, folder, "embeddings"))
+
+
+def op5_collision_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest_neighbours(read(spark, folder, "embeddings"))
+
+
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(read(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -27,5 +35,7 @@ def op6_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read(spark, folder, "documents"), 16)
 
 
+_add("op1_threshold_top_k", op1_threshold_top_k, topk.TOPK_SQL)
+_add("op5_collision_neighbours", op5_collision_neighbours)
 _add("op3_mix_sources", op3_mix_sources, mixing.MIX_SQL)
 _add("op6_jump_shards", op6_jump_shards, sharding.SHARD_SQL)
