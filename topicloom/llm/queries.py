@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicloom.llm import ann, mixing, sharding, topk
+from topicloom.llm import ann, mixing, sharding, topk, toxicity
 from topicloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op6_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read(spark, folder, "documents"), 16)
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+_add("op9_toxicity", op9_toxicity)
 _add("op1_threshold_top_k", op1_threshold_top_k, topk.TOPK_SQL)
 _add("op5_collision_neighbours", op5_collision_neighbours)
 _add("op3_mix_sources", op3_mix_sources, mixing.MIX_SQL)
