@@ -76,3 +76,56 @@ def text_bytes(column: pa.Array):
     data = column.buffers()[2]
     flat = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
     return flat, offsets - offsets[0]
+
+
+def word_codes(column: pa.Array, table=None, lower: bool = True):
+    """Row and code of each word of the texts in text order, and the distinct words as bytes.
+
+    Words are runs of bytes that ``table`` (256 bytes to bytes) does not map to a blank; without a table they are runs
+    of anything but ASCII white space.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    column = pc.fill_null(column, "")
+    flat, offsets = text_bytes(pc.utf8_lower(column) if lower else column)
+    if table is None:
+        inside = (flat != 32) & ((flat < 9) | (flat > 13))
+    else:
+        flat = table[flat]
+        inside = flat != 32
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+    starts, ends = edges[::2], edges[1::2]
+    # A run that goes on over the end of a text is cut there.
+    cuts = np.unique(offsets[1:-1])
+    cuts = cuts[(cuts > 0) & (cuts < len(flat))]
+    cuts = cuts[inside[cuts] & inside[cuts - 1]]
+    if len(cuts):
+        starts, ends = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
+    rows = np.searchsorted(offsets, starts, side="right") - 1
+    # Only the bytes of words, one after the other, make the column of words.
+    total = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    held = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(total.tobytes()), pa.py_buffer(flat[inside].tobytes())])
+    coded = held.dictionary_encode()
+    return rows, coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
+def word_hashes(column: pa.Array):
+    """64-bit hashes of the words of the texts (lower case, split at white space), and where each text begins."""
+    import numpy as np
+    from pandas.util import hash_array
+
+    rows, codes, words = word_codes(column)
+    hashed = hash_array(np.array(words, dtype=object), categorize=False) if words else np.zeros(0, np.uint64)
+    return hashed[codes], np.searchsorted(rows, np.arange(len(column) + 1))
+
+
+def mixed(x):
+    """A fixed permutation of 64-bit numbers that spreads every bit (a published finaliser)."""
+    import numpy as np
+
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x = x ^ (x >> np.uint64(27))
+    x = x * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicloom.llm import ann, mixing, sharding, topk, toxicity
+from topicloom.llm import ann, mixing, near_dup, sharding, topk, toxicity
 from topicloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,13 @@ def op6_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read(spark, folder, "documents"), 16)
 
 
+def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(read(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
+
+
+_add("op10_order_minhash", op10_order_minhash)
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
