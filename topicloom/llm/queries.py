@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from topicloom.llm import ann, mixing, near_dup, sharding, topk, toxicity
+from topicloom.llm import ann, mixing, near_dup, sharding, suffix_dedup, topk, toxicity
 from topicloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +36,14 @@ def op6_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read(spark, folder, "documents"), 16)
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_add("op4_suffix_dedup", op4_suffix_dedup)
+
+
 def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(read(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
 
