@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import ann, mixing, near_dup, packing, sharding, suffix_dedup, topk, toxicity
+from topicloom.llm import ann, mixing, near_dup, packing, sharding, suffix_dedup, token_counts, topk, toxicity
 from topicloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,13 @@ def op7_lexical_packing(spark: SparkSession, folder: str) -> DataFrame:
 _add("op7_lexical_packing", op7_lexical_packing)
 
 
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, folder, "documents"))
+
+
+_add("op8_token_counts", op8_token_counts)
+
+
 def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(read(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
 
