@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import ann, mixing, near_dup, packing, sharding, suffix_dedup, token_counts, topk, toxicity
+from topicloom.llm import ann, chat, mixing, near_dup, packing, sharding, suffix_dedup, token_counts, topk, toxicity
 from topicloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,13 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 _add("op8_token_counts", op8_token_counts)
 
 
+def op2_chat_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.read_back(*chat.format_conversations(chat.with_probe(read(spark, folder, "conversations"))))
+
+
+_add("op2_chat_tree", op2_chat_tree, chat.CHAT_SQL)
+
+
 def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(read(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
 
