@@ -51,7 +51,7 @@ def mix_sources(
     most_copies: float = MOST_COPIES,
     seed: int = SEED,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken: one row per row of ``docs``.
+    """doc_id, source, text_hash, size, source_size, target, copies, taken: one row per row of ``docs``.
 
     Within a source every document expects target / source_size copies. The prefix sums of these, shifted by one
     random offset per source, cross integers; a document is emitted once per integer crossed in its own stretch.
@@ -61,12 +61,12 @@ def mix_sources(
     and count as documents, null ids are ordered as one id, repeated rows are separate rows, an empty table gives no
     rows; other columns are ignored.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     sized = materialize(sized, "mix-sizes")
     bits = F.length(F.bin("size"))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
     keyed = sized.withColumns({"__bits": bits, "__lead": F.expr("shiftright(size, greatest(length(bin(size)) - 4, 0))"), "__key": key})
-    ranked = sliced_rank(keyed, ["source"], ["__bits", "__lead"], "__key", [F.col("doc_id"), F.col("size")], hex_digits(sized.count()), "__rank")
+    ranked = sliced_rank(keyed, ["source"], ["__bits", "__lead"], "__key", [F.col("doc_id"), F.col("size"), F.col("text_hash")], hex_digits(sized.count()), "__rank")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))).cast("binary")), 1, 5), 16, 10).cast("double") / F.lit(1048576.0)
     rates = source_targets(totals, weights, total_share, most_copies).withColumns(
@@ -74,7 +74,21 @@ def mix_sources(
     )
     joined = ranked.alias("r").join(rates.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")))
     crossed = F.floor(F.col("__rate") * (F.col("__rank") + 1) + F.col("__offset")) - F.floor(F.col("__rate") * F.col("__rank") + F.col("__offset"))
-    return joined.select("doc_id", F.col("r.source").alias("source"), "size", "source_size", "target", crossed.cast("int").alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
+    return joined.select("doc_id", F.col("r.source").alias("source"), "text_hash", "size", "source_size", "target", crossed.cast("int").alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
+
+
+
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, total_share: float = TOTAL_SHARE, most_copies: float = MOST_COPIES, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with their columns."""
+    taken = mix_sources(docs, weights, total_share, most_copies, seed).groupBy("doc_id", "source", "text_hash").agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
+    taken = taken.where("__copies > 0").alias("t")
+    rows = docs.withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit("")))).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source")) & (F.col("d.__hash") == F.col("t.text_hash"))
+    met = rows.join(taken, same).select("d.*", "__copies", "__rows")
+    # Rows with equal id, source and text cannot be told apart: one of them stands for all their copies.
+    again = met.where("__rows > 1").dropDuplicates(["doc_id", "source", "__hash"])
+    every = met.where("__rows = 1").unionByName(again)
+    return every.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
 
 
 MIX_SQL = f"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),

@@ -73,7 +73,7 @@ _add("op10_order_minhash", op10_order_minhash)
 
 
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    return toxicity.score_toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
+    return toxicity.score_toxicity(read(spark, folder, "documents").select("doc_id", "text"), read(spark, folder, "labels")).drop("text")
 
 
 _add("op9_toxicity", op9_toxicity)

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructType
 
 from topicloom.llm.common import mixed, text_bytes, text_chunks
 from topicloom.llm.suffix_sort import sorted_with_prefixes
@@ -251,7 +252,30 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
             names = [c for c in batch.schema.names if c not in ("__text", "stretches")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(x.astype(np.int64)) for x in numbers), held], names=[*names, "n_bytes", "n_removed", "n_spans", "kept"])
 
-    from pyspark.sql.types import BinaryType, LongType, StructType
-
     schema = StructType([docs.schema[c] for c in kept]).add("n_bytes", LongType()).add("n_removed", LongType()).add("n_spans", LongType()).add("kept", BinaryType())
     return joined.mapInArrow(cut, schema)
+
+
+def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """``docs`` with the texts that remove_repeats leaves, and n_chars (if there) counted anew.
+
+    A character of which only a part was covered goes as a whole. Rows without repeats, null texts included, stay as
+    they are; a text of which nothing is left is empty.
+    """
+    named = {c: f"__{c}" for c in docs.columns if c in ("n_bytes", "n_removed", "n_spans", "kept")}
+    found = remove_repeats(docs.withColumnsRenamed(named), min_bytes)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = batch.column("text").to_pylist()
+            texts = [t if not n else k.decode("utf-8", "ignore") for t, n, k in zip(whole, batch.column("n_removed").to_pylist(), batch.column("kept").to_pylist())]
+            names = [c for c in batch.schema.names if c not in ("n_removed", "kept")]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names], names=names)
+
+    rows = found.drop("n_bytes", "n_spans")
+    plain = rows.mapInArrow(decode, StructType([f for f in rows.schema if f.name not in ("n_removed", "kept")]))
+    plain = plain.withColumnsRenamed({new: old for old, new in named.items()})
+    if "n_chars" in docs.columns:
+        count = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        plain = plain.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType))
+    return plain.select(*docs.columns)

@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructType
 
-from topicloom.llm.common import text_bytes, text_chunks
+from topicloom.llm.common import text_chunks, word_codes
 
 # Bounds of the fitted model: labelled rows in the sample, and terms that are kept.
 MAX_EXAMPLES = 16_000
@@ -33,26 +34,7 @@ _LETTERS[97:123] = np.arange(97, 123)
 
 def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Row and word number of each word of the texts, and the distinct words: runs of letters, in lower case."""
-    import pyarrow.compute as pc
-
-    flat, offsets = text_bytes(pc.utf8_lower(pc.fill_null(column, "")))
-    flat = _LETTERS[flat]
-    inside = flat != 32
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
-    starts, ends = edges[::2], edges[1::2]
-    # A run that goes on over the end of a text is cut there.
-    cuts = offsets[1:-1]
-    if len(starts) and len(cuts):
-        across = cuts[(cuts > 0) & (cuts < len(flat))]
-        across = np.unique(across[inside[across] & inside[across - 1]])
-        starts, ends = np.sort(np.concatenate([starts, across])), np.sort(np.concatenate([ends, across]))
-    rows = np.searchsorted(offsets, starts, side="right") - 1
-    lengths = ends - starts
-    # Only the bytes of words, one after the other, make the column of words.
-    total = np.concatenate([[0], np.cumsum(lengths)])
-    held = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(total.astype(np.int64).tobytes()), pa.py_buffer(flat[inside].tobytes())])
-    coded = held.dictionary_encode()
-    return rows, coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    return word_codes(column, _LETTERS)
 
 
 def terms_of(word: bytes) -> list[bytes]:
@@ -255,16 +237,18 @@ def build(idf: np.ndarray, terms: dict[bytes, int], examples: list) -> ExampleIn
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted, evidence for every row of ``docs``.
+    """All columns of ``docs`` and held_out, score, predicted, evidence for every row.
 
     The score depends on the text alone: the shares of toxic labels among the nearest examples, weighted by cosine and
     mapped to frequencies that were observed when examples were left out. ``evidence`` holds ids of the nearest
     examples. Null and blank texts are compared like any other (they have no words). Without any labelled row
-    every score is 0. Repeated rows get equal scores; null ids are scored and count as not held out; other columns
-    are ignored.
+    every score is 0. Repeated rows get equal scores; null ids are scored and count as not held out; columns named like
+    the new ones are replaced.
     """
     model = fit(docs, labels, max_examples)
     held = F.coalesce((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3) == 1, F.lit(False))
+    new = ("held_out", "score", "predicted", "evidence")
+    kept = [c for c in docs.columns if c not in new]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[bytes, tuple[float, list[int]]] = {}
@@ -283,8 +267,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_E
                         raw, near = model.vote(*weigh(model.idf, term[s:e], count[s:e].astype(float), int(words[i])))
                         memo[key] = (model.calibrated(raw), [x for j, _ in near[:3] for x in model.ids[j][:1]])
                     scores[i], evidence[i] = memo[key]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(evidence, pa.list_(pa.int64()))], names=["doc_id", "held_out", "score", "predicted", "evidence"])
+            values = [pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(evidence, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *values], names=[*batch.schema.names, "score", "predicted", "evidence"])
 
-    rows = docs.select("doc_id", held.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(scored, f"doc_id {kind}, held_out boolean, score double, predicted int, evidence array<long>")
+    rows = docs.select(*kept).withColumn("held_out", held)
+    schema = StructType(list(rows.schema.fields)).add("score", DoubleType()).add("predicted", IntegerType()).add("evidence", ArrayType(LongType()))
+    return rows.mapInArrow(scored, schema)
+
+
+def reject_toxic(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score stays below ``threshold``, with their columns."""
+    renamed = {c: f"__{c}" for c in docs.columns if c in ("held_out", "score", "predicted", "evidence")}
+    scored = score_toxicity(docs.withColumnsRenamed(renamed), labels, max_examples, threshold).where("predicted = 0")
+    return scored.select(*[F.col(renamed.get(c, c)).alias(c) for c in docs.columns])
