@@ -28,7 +28,8 @@ def _quicksort(words: np.ndarray, rows: np.ndarray, depth: int, out: list[np.nda
             out.append(rows[np.lexsort([words[rows, d] for d in range(SHALLOW_WORDS - 1, depth - 1, -1)])])
             continue
         column = words[rows, depth]
-        pivot = np.sort(column[:: max(1, len(column) // 9)])[4]
+        sample = np.sort(column[:: max(1, len(column) // 9)])
+        pivot = sample[len(sample) // 2]
         less, more = column < pivot, column > pivot
         # The stack gives back the smallest part first.
         stack += [(part, deep) for part, deep in ((rows[more], depth), (rows[~less & ~more], depth + 1), (rows[less], depth)) if len(part)]
