@@ -129,3 +129,25 @@ def mixed(x):
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def pack_texts(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with ``column`` (a text without nulls) as compressed bytes in ``packed``; its shuffle is half the size."""
+    from pyspark.sql.types import BinaryType, StructField, StructType
+
+    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=3)
+        for batch in text_chunks(batches, column):
+            names = [c for c in batch.schema.names if c != column]
+            texts = batch.column(column).cast(pa.large_binary())
+            packed = [len(t).to_bytes(8, "little") + codec.compress(t, asbytes=True) for t in texts.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(packed, pa.binary())], names=[*names, "packed"])
+
+    fields = [f for f in rows.schema.fields if f.name != column]
+    return rows.mapInArrow(press, StructType([*fields, StructField("packed", BinaryType())]))
+
+
+def unpack(packed: bytes) -> bytes:
+    """The bytes of one packed text."""
+    size = int.from_bytes(packed[:8], "little")
+    return pa.Codec("zstd").decompress(packed[8:], size, asbytes=True) if size else b""

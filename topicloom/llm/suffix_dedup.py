@@ -11,25 +11,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructType
 
-from topicloom.llm.common import mixed, text_bytes, text_chunks
+from topicloom.llm.common import CHUNK_BYTES, mixed, pack_texts, text_bytes, text_chunks, unpack
 from topicloom.llm.suffix_sort import sorted_with_prefixes
 from topicloom.session import materialize
 
 MIN_BYTES = 400
-# Bytes whose hash decides which place of a string is its anchor.
-GRAM = 16
+# Bytes whose hash decides which place of a string is its anchor: at most this many, and half the string.
+GRAM = 32
 # Bits of a key that hold the place within a piece of text; longer texts are cut into pieces that overlap.
 PLACE_BITS = 24
 # Strings that are sorted together.
 BATCH_ITEMS = 40_000
 
 
-def gram_hashes(flat: np.ndarray) -> np.ndarray:
-    """A hash of the GRAM bytes from each place on."""
+def gram_bytes(size: int) -> int:
+    if size < 16:
+        raise ValueError("passages have to be 16 bytes long at least")
+    return min(GRAM, size // 16 * 8)
+
+
+def gram_hashes(flat: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of the ``gram`` bytes (a multiple of 8) from each place on."""
     w = flat.astype(np.uint64)
     for k in (1, 2, 4):
         w = w[:-k] | (w[k:] << np.uint64(8 * k))
-    return mixed(w[:-8] * np.uint64(0x9E3779B97F4A7C15) + mixed(w[8:]))
+    n = len(flat) - gram + 1
+    total = w[:n] * np.uint64(0x9E3779B97F4A7C15)
+    for i, factor in zip(range(8, gram, 8), (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)):
+        total += w[i : i + n] * np.uint64(factor)
+    return mixed(total)
 
 
 def sliding_smallest(keys: np.ndarray, width: int) -> np.ndarray:
@@ -54,10 +64,11 @@ def anchored_runs(flat: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.
     long = lengths >= size
     if not long.any():
         return empty, empty, empty, np.zeros(0, np.uint64)
-    hashes = gram_hashes(flat)
+    gram = gram_bytes(size)
+    hashes = gram_hashes(flat, gram)
     low = np.uint64((1 << PLACE_BITS) - 1)
     keys = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
-    smallest = sliding_smallest(keys, size - GRAM + 1)
+    smallest = sliding_smallest(keys, size - gram + 1)
     turns = np.zeros(len(flat) + 1, np.int32)
     np.add.at(turns, offsets[:-1][long], 1)
     np.add.at(turns, offsets[1:][long] - size + 1, -1)
@@ -170,22 +181,24 @@ def _compared(items: DataFrame, size: int) -> DataFrame:
     return dealt.mapInArrow(compare, "text_hash long, id long, from int, to int")
 
 
-def _cut_out(requests: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+def _cut_out(requests: DataFrame, packed: DataFrame, size: int) -> DataFrame:
     """The bytes of the requested runs; ``requests`` has one row per text with an array of runs."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches):
-            flat, offsets = text_bytes(batch.column("text"))
-            data = flat.tobytes()
-            rows = []
-            for i, (runs, text_hash, key) in enumerate(zip(batch.column("runs").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("id").to_pylist())):
-                for r in runs:
-                    at = int(offsets[i])
-                    rows.append({**r, "text_hash": text_hash, "id": key, "bytes": data[at + r["low"] : at + r["high"] + size]})
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("gram", pa.int64()), ("item", pa.binary()), ("n", pa.int64()), ("text_hash", pa.int64()), ("id", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("bytes", pa.binary())]))
-
-    joined = docs.join(requests, ["text_hash", "id"]).select("text_hash", "id", "text", "runs")
+        schema = pa.schema([("gram", pa.int64()), ("item", pa.binary()), ("n", pa.int64()), ("text_hash", pa.int64()), ("id", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("bytes", pa.binary())])
+        rows, held = [], 0
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("packed", "runs", "text_hash", "id"))
+            for blob, runs, text_hash, key in zip(*columns):
+                data = unpack(blob)
+                rows += [{**r, "text_hash": text_hash, "id": key, "bytes": data[r["low"] : r["high"] + size]} for r in runs]
+                held += len(data)
+                if held >= CHUNK_BYTES:
+                    yield from pa.Table.from_pylist(rows, schema=schema).to_batches()
+                    rows, held = [], 0
+        yield from pa.Table.from_pylist(rows, schema=schema).to_batches()
+
+    joined = packed.join(requests, ["text_hash", "id"]).select("text_hash", "id", "packed", "runs")
     return joined.mapInArrow(cut, "gram long, item binary, n long, text_hash long, id long, place int, low int, bytes binary")
 
 
@@ -202,7 +215,7 @@ def repeated_stretches(keyed: DataFrame, size: int) -> DataFrame:
     asked = mixed_items.groupBy(F.col("one.text_hash").alias("text_hash"), F.col("one.id").alias("id")).agg(
         F.collect_list(F.struct("gram", "item", "n", "one.place", "one.low", "one.high")).alias("runs")
     )
-    partly = _compared(_cut_out(asked, keyed, size), size)
+    partly = _compared(_cut_out(asked, pack_texts(keyed, "text"), size), size)
     whole = shared.join(items.where("n > 1").select("gram", "item"), ["gram", "item"], "left_semi").selectExpr("text_hash", "id", "low AS from", "high AS to")
     return partly.union(whole).groupBy("text_hash", "id").agg(F.collect_list(F.struct("from", "to")).alias("stretches"))
 
@@ -225,32 +238,39 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept")]
     marked = docs.select(*kept).withColumns({"__hash": F.xxhash64(text), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")), "__text": text})
     named = found.select(F.col("text_hash").alias("__hash"), F.col("id").alias("__id"), "stretches")
-    joined = marked.join(named, ["__hash", "__id"], "left").drop("__hash", "__id")
+    # The text column is told apart from its packed bytes only where it is null.
+    bare = pack_texts(marked.withColumn("text", F.when(F.col("text").isNotNull(), F.lit(""))), "__text")
+    joined = bare.join(named, ["__hash", "__id"], "left").drop("__hash", "__id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, "__text"):
-            flat, offsets = text_bytes(batch.column("__text"))
-            stretches = batch.column("stretches").to_pylist()
-            turns = np.zeros(len(flat) + 1, np.int32)
-            for i, some in enumerate(stretches):
-                for r in some or ():
-                    turns[offsets[i] + r["from"]] += 1
-                    turns[offsets[i] + r["to"] + min_bytes] -= 1
-            # A stretch ends within its text, so the sums are back at zero where the next text begins.
-            gone = np.cumsum(turns[:-1]) > 0
-            before = np.concatenate([[0], np.cumsum(gone)])
-            opens = gone.copy()
-            opens[1:] &= ~gone[:-1]
-            inner = offsets[1:-1]
-            inner = inner[inner < len(flat)]
-            opens[inner] = gone[inner]
-            spans = np.concatenate([[0], np.cumsum(opens)])
-            stay = flat[~gone]
-            ends = (offsets - before[offsets]).astype(np.int32)
-            held = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(stay.tobytes())])
-            numbers = [np.diff(offsets), np.diff(before[offsets]), np.diff(spans[offsets])]
-            names = [c for c in batch.schema.names if c not in ("__text", "stretches")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(x.astype(np.int64)) for x in numbers), held], names=[*names, "n_bytes", "n_removed", "n_spans", "kept"])
+        for batch in batches:
+            nulls = batch.column("text").is_null().to_pylist()
+            start, held, rows = 0, 0, []
+            for i, (blob, stretches) in enumerate(zip(batch.column("packed").to_pylist(), batch.column("stretches").to_pylist())):
+                data = unpack(blob)
+                rows.append((None if nulls[i] else data.decode(), *kept_of(data, stretches)))
+                held += len(data)
+                if held >= CHUNK_BYTES or i == batch.num_rows - 1:
+                    yield shown(batch.slice(start, len(rows)), rows)
+                    start, held, rows = i + 1, 0, []
+
+    def kept_of(data: bytes, stretches: list[dict] | None) -> tuple[int, int, int, bytes]:
+        # Where text is covered: stretches in order of their starts, joined where they touch.
+        spans: list[list[int]] = []
+        for r in sorted(stretches or (), key=lambda r: r["from"]):
+            if spans and r["from"] <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], r["to"] + min_bytes)
+            else:
+                spans.append([r["from"], r["to"] + min_bytes])
+        edges = [0, *(x for s in spans for x in s), len(data)]
+        stay = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        return len(data), len(data) - len(stay), len(spans), stay
+
+    def shown(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+        columns = {c: batch.column(c) for c in batch.schema.names if c not in ("packed", "stretches")}
+        texts, *numbers, stays = zip(*rows)
+        columns["text"] = pa.array(texts, pa.string())
+        return pa.RecordBatch.from_arrays([*columns.values(), *(pa.array(x, pa.int64()) for x in numbers), pa.array(stays, pa.binary())], names=[*columns, "n_bytes", "n_removed", "n_spans", "kept"])
 
     schema = StructType([docs.schema[c] for c in kept]).add("n_bytes", LongType()).add("n_removed", LongType()).add("n_spans", LongType()).add("kept", BinaryType())
     return joined.mapInArrow(cut, schema)
