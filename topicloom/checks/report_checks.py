@@ -357,37 +357,50 @@ def _(t: Tables):
     return t.read("pages").select("page_id", X.build_permalink(link.cast("string")).alias("link"))
 
 
-# Replies in the shapes models give: fenced JSON, JSON behind quotes, broken JSON, and plain text.
-REPLY_SQL = """replies AS (SELECT doc_id, regexp_replace(split_part(text, chr(10), 1), '[^A-Za-z .]', '', 'g') AS w, CASE CAST(doc_id % 6 AS INTEGER)
-  WHEN 0 THEN '```json' || chr(10) || '{"label": "' || regexp_replace(split_part(text, chr(10), 1), '[^A-Za-z .]', '', 'g') || '", "summary": null}' || chr(10) || '```'
-  WHEN 1 THEN '''''''json {"label": "' || regexp_replace(split_part(text, chr(10), 1), '[^A-Za-z .]', '', 'g') || '"}'
-  WHEN 2 THEN '{"label": "' || regexp_replace(split_part(text, chr(10), 1), '[^A-Za-z .]', '', 'g') || '", broken}'
-  WHEN 3 THEN '  JSON  "' || regexp_replace(split_part(text, chr(10), 1), '[^A-Za-z .]', '', 'g') || '"'
-  WHEN 4 THEN '{"title": 3}' ELSE regexp_replace(split_part(text, chr(10), 1), '[^A-Za-z .]', '', 'g') END AS reply FROM documents)"""
+# Replies in the shapes models give, around whole texts: fenced JSON, JSON behind quotes, broken JSON, plain text, with
+# blanks and line ends around them. ``j`` is the text as it stands between the quotes of a JSON string.
+REPLY_SQL = r"""texts AS (SELECT doc_id, text AS w,
+  replace(replace(replace(replace(replace(text, '\', '\\'), '"', '\"'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t') AS j FROM documents),
+replies AS (SELECT doc_id, w, j, CASE CAST(doc_id % 6 AS INTEGER)
+  WHEN 0 THEN '```json' || chr(10) || '{"label": "' || j || '", "summary": null}' || chr(10) || '```' || chr(10)
+  WHEN 1 THEN repeat(chr(39), 3) || 'json {"label": "' || j || '"}' || chr(10)
+  WHEN 2 THEN '{"label": "' || j || '", broken}'
+  WHEN 3 THEN '  JSON  "' || w || '"'
+  WHEN 4 THEN chr(10) || '{"title": 3}' || chr(10) ELSE w END AS reply FROM texts)"""
+
+
+def _json_text(text):
+    """The text as it stands between the quotes of a JSON string."""
+    for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    return text
 
 
 def _replies(t: Tables):
-    w = F.regexp_replace(F.split_part("text", F.lit("\n"), F.lit(1)), "[^A-Za-z .]", "")
-    kind = F.col("doc_id") % 6
+    w, j, kind = F.col("text"), _json_text(F.col("text")), F.col("doc_id") % 6
     reply = (
-        F.when(kind == 0, F.concat(F.lit('```json\n{"label": "'), w, F.lit('", "summary": null}\n```')))
-        .when(kind == 1, F.concat(F.lit("'''json {\"label\": \""), w, F.lit('"}')))
-        .when(kind == 2, F.concat(F.lit('{"label": "'), w, F.lit('", broken}')))
+        F.when(kind == 0, F.concat(F.lit('```json\n{"label": "'), j, F.lit('", "summary": null}\n```\n')))
+        .when(kind == 1, F.concat(F.lit("'''json {\"label\": \""), j, F.lit('"}\n')))
+        .when(kind == 2, F.concat(F.lit('{"label": "'), j, F.lit('", broken}')))
         .when(kind == 3, F.concat(F.lit('  JSON  "'), w, F.lit('"')))
-        .when(kind == 4, F.lit('{"title": 3}'))
+        .when(kind == 4, F.lit('\n{"title": 3}\n'))
         .otherwise(w)
     )
     return t.read("documents").select("doc_id", reply.alias("reply"))
 
 
-W_SQL = f"regexp_replace(w, '^{SP}+|{SP}+$', '', 'g')"
-W_LEFT = f"regexp_replace(w, '^{SP}+', '')"
+W_SQL = trimmed("w")
+
+
+def bare_sql(expression: str) -> str:
+    """SQL that trims quotes and blanks at both ends."""
+    return f"""regexp_replace({expression}, '^["'' ]+|["'' ]+$', '', 'g')"""
 
 
 @check(
     "reply_values",
     f"""WITH {REPLY_SQL} SELECT doc_id, CASE CAST(doc_id % 6 AS INTEGER) WHEN 0 THEN {W_SQL} WHEN 1 THEN {W_SQL} WHEN 2 THEN reply
-          WHEN 3 THEN {W_LEFT} || '"' WHEN 4 THEN '' ELSE {W_SQL} END AS label FROM replies""",
+          WHEN 3 THEN regexp_replace(w, '^{SP}+', '') || '"' WHEN 4 THEN '' ELSE {W_SQL} END AS label FROM replies""",
 )
 def _(t: Tables):
     return _replies(t).select("doc_id", X.reply_value(F.col("reply"), "label").alias("label"))
@@ -396,10 +409,10 @@ def _(t: Tables):
 @check(
     "clean_labels",
     f"""WITH {REPLY_SQL} SELECT doc_id, CASE CAST(doc_id % 6 AS INTEGER)
-          WHEN 0 THEN '{{"label": "' || w || '", "summary": null}}'
-          WHEN 1 THEN 'json {{"label": "' || w || '"}}'
-          WHEN 2 THEN reply WHEN 3 THEN regexp_replace(w, '^ +| +$', '', 'g') WHEN 4 THEN reply
-          ELSE regexp_replace(w, '^ +| +$', '', 'g') END AS label FROM replies""",
+          WHEN 0 THEN '{{"label": "' || j || '", "summary": null}}'
+          WHEN 1 THEN 'json {{"label": "' || j || '"}}'
+          WHEN 2 THEN reply WHEN 3 THEN {bare_sql("w")} WHEN 4 THEN '{{"title": 3}}'
+          ELSE {bare_sql(W_SQL)} END AS label FROM replies""",
 )
 def _(t: Tables):
     return _replies(t).select("doc_id", X.clean_label(F.col("reply")).alias("label"))
@@ -416,22 +429,31 @@ def _(t: Tables):
 
 @check(
     "json_blocks",
-    f"""WITH {REPLY_SQL} SELECT doc_id, CASE CAST(doc_id % 6 AS INTEGER) WHEN 0 THEN '{{"label": "' || w || '", "summary": null}}'
-          WHEN 1 THEN '{{"label": "' || w || '"}}' WHEN 2 THEN reply WHEN 4 THEN reply
-          WHEN 3 THEN '"' || w || '"' ELSE {W_SQL} END AS block FROM replies""",
+    rf"""WITH {REPLY_SQL} SELECT doc_id, CASE WHEN regexp_matches(reply, '\{{.*\}}', 's') THEN regexp_extract(reply, '\{{.*\}}', 0, 's')
+          WHEN doc_id % 6 = 3 THEN '"' || w || '"' ELSE {W_SQL} END AS block FROM replies""",
 )
 def _(t: Tables):
     return _replies(t).select("doc_id", X.json_block(F.col("reply")).alias("block"))
 
 
-PARTS_SQL = """SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '[^a-zA-Z,]', ' ', 'g'), ','),
-  lambda x: trim(x)), lambda x: x <> '') AS k FROM documents"""
-
-
-@check("parsed_keywords", f"SELECT doc_id, CAST(least(len(k), 12) AS INTEGER) AS n, array_to_string(k[1:12], '; ') AS keywords FROM ({PARTS_SQL})")
+# Whole texts as comma-separated keywords, and as the first keyword of fenced, plain and broken JSON.
+@check(
+    "parsed_keywords",
+    f"""WITH {REPLY_SQL}, listed AS (SELECT doc_id, CASE CAST(doc_id % 4 AS INTEGER)
+          WHEN 0 THEN list_filter(list_transform(string_split({W_SQL}, ','), lambda x: {trimmed('x')}), lambda x: x <> '')[1:12]
+          WHEN 3 THEN [] ELSE list_filter([{W_SQL}, 'two'], lambda x: x <> '') END AS k FROM replies)
+        SELECT doc_id, CAST(len(k) AS INTEGER) AS n, array_to_string(k, '; ') AS keywords FROM listed""",
+)
 def _(t: Tables):
-    plain = F.regexp_replace("text", "[^a-zA-Z,]", " ")
-    parsed = X.parse_keywords(plain)
+    j, kind = _json_text(F.col("text")), F.col("doc_id") % 4
+    listed = F.concat(F.lit('{"keywords": ["'), j, F.lit('", "", "two "]}'))
+    reply = (
+        F.when(kind == 0, F.col("text"))
+        .when(kind == 1, F.concat(F.lit("```json\n"), listed, F.lit("\n```\n")))
+        .when(kind == 2, F.concat(F.lit(" "), listed, F.lit("\n")))
+        .otherwise(F.concat(F.lit('{"keywords": ["'), j, F.lit('", broken')))
+    )
+    parsed = X.parse_keywords(reply)
     return t.read("documents").select("doc_id", F.size(parsed).alias("n"), X.keyword_list(parsed).alias("keywords"))
 
 

@@ -159,15 +159,17 @@ def json_block(text: Column) -> Column:
     return F.coalesce(_braced(text), _unfence(text))
 
 
-def parse_keywords(reply: Column) -> Column:
-    """Keywords of a JSON reply, or the first twelve parts of comma-separated text."""
-    listed = F.from_json(F.when(_is_object(reply), reply), "keywords array<string>")["keywords"]
+def parse_keywords(reply: Column, limit: int = KEYWORD_LIMIT) -> Column:
+    """Keywords of a JSON reply, fenced or not; the first ``limit`` parts of comma-separated text.
+
+    Text that begins with a brace is no list of keywords, so broken JSON gives none.
+    """
+    cleaned = _unfence(F.coalesce(reply, F.lit("")))
+    listed = F.from_json(F.when(_is_object(cleaned), cleaned), "keywords array<string>")["keywords"]
     from_list = F.filter(F.transform(listed, strip), lambda k: k.isNotNull() & (k != ""))
-    parts = F.filter(F.transform(F.split(reply, ","), strip), lambda k: k != "")
+    parts = F.filter(F.transform(F.split(cleaned, ","), strip), lambda k: k != "")
     empty = F.array().cast("array<string>")
-    return F.when(_is_object(reply), F.coalesce(from_list, empty)).otherwise(
-        F.coalesce(F.slice(parts, 1, KEYWORD_LIMIT), empty)
-    )
+    return F.when(cleaned.startswith("{"), F.coalesce(from_list, empty)).otherwise(F.slice(parts, 1, limit))
 
 
 ANCHOR_SCHEMA = "anchors array<struct<label:string,keywords:array<string>>>, raw string"
@@ -210,11 +212,11 @@ def join_examples(examples: Column) -> Column:
     return F.array_join(examples, EXAMPLE_SEPARATOR)
 
 
-def reply_label(reply: Column) -> Column:
-    """The label of a reply; a reply that is not JSON gives its first characters."""
+def reply_label(reply: Column, limit: int = REPLY_LABEL_LIMIT) -> Column:
+    """The label of a reply; a reply that is not JSON gives its first ``limit`` characters."""
     trimmed = strip(reply)
     value = F.coalesce(F.get_json_object(trimmed, "$.label"), F.lit(""))
-    return F.when(_is_object(trimmed), value).otherwise(F.substring(trimmed, 1, REPLY_LABEL_LIMIT))
+    return F.when(_is_object(trimmed), value).otherwise(F.substring(trimmed, 1, limit))
 
 
 def reply_summary(reply: Column) -> Column:
