@@ -6,7 +6,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from topicloom.operators import centroids as C
 from topicloom.operators.agreement import clustering_metrics, compare_clusterings, consensus, jaccard, map_to_base
 from topicloom.operators.anchors import assign_anchors
 from topicloom.operators.blocks import Cells
@@ -46,13 +45,20 @@ def test_top_n(spark):
     assert all(r["top_n_scores"][0] > 0.9 for r in rows)
 
 
-def test_top_n_paths_agree(spark, monkeypatch):
+@pytest.mark.parametrize("size", [40, 100, 1 << 20])
+def test_top_n_in_passes_keeps_every_row(spark, size):
     x = blobs()
     posts = table(spark, x, np.arange(len(x)) % 23)
-    near = lambda: {r["post_id"]: (r["top_n_topics"], np.round(r["top_n_scores"], 9).tolist()) for r in top_n_topics(posts, topic_centroids(posts), 4).collect()}
-    shipped = near()
-    monkeypatch.setattr(C, "SHIPPED_ROWS", 3)
-    assert near() == shipped and len(shipped) == len(x)
+    centers = topic_centroids(posts).collect()
+    units = {r["topic"]: np.array(r["centroid"]) / np.linalg.norm(r["centroid"]) for r in centers}
+    # Ids that repeat or are missing are rows like any other.
+    odd = posts.withColumn("post_id", F.when(F.col("post_id") % 3 == 0, None).when(F.col("post_id") % 3 == 1, 1).otherwise(F.col("post_id")))
+    got = top_n_topics(odd.withColumn("at", F.col("embedding")), topic_centroids(posts), 4, keep=("post_id", "at"), shipped_bytes=size).collect()
+    assert len(got) == len(x)
+    for r in got:
+        sims = {t: float(np.dot(u, r["at"]) / max(np.linalg.norm(r["at"]), 1e-300)) for t, u in units.items()}
+        best = sorted(sims, key=lambda t: (-round(sims[t], 12), t))[:4]
+        assert np.allclose(r["top_n_scores"], [sims[t] for t in best]) and len(set(r["top_n_topics"])) == 4
 
 
 def test_no_topics_and_zero_vectors(spark):
@@ -203,6 +209,14 @@ def test_anchors(spark):
     assert got == {0: (0, [0, 1]), 1: (1, [0, 1]), 2: (0, [0, 1]), 3: (-1, [0, 1])}
 
 
+def test_equal_vectors_give_two_halves(spark):
+    posts = table(spark, [[1.0, 2.0]] * 6 + [[0.0, 0.0], [0.0, 1.0], [9.0, 9.0], [9.0, 8.0]], [1] * 6 + [2] * 4)
+    sides = {}
+    for r in split_topics(posts, posts.select("topic")).collect():
+        sides.setdefault(r["topic"], []).append(r["side"])
+    assert len(sides[1]) == 6 and set(sides[1]) == {0, 1} and sorted(sides[2]) == [0, 0, 1, 1]
+
+
 def test_split_in_two(spark):
     rng = np.random.default_rng(1)
     far = np.concatenate([rng.normal(size=(20, 3)) + 10, rng.normal(size=(30, 3)) - 10])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from topicloom.checks.tables import ORDER_POSTS, TEXT_POSTS, VECTORS, Tables, centroids_sql, check
@@ -263,6 +265,17 @@ def _(t: Tables):
     )
 
 
+@check(
+    "stream_missing_column",
+    """SELECT 'total_rows' AS metric, '' AS column_name, count(*) AS value FROM events
+       UNION ALL SELECT 'null_count', 'post_id', 0 UNION ALL SELECT 'null_count', 'author', count(*) FROM events
+       UNION ALL SELECT 'missing_column', 'author', 1 UNION ALL SELECT 'invalid_dates', 'date', count(*) FROM events WHERE event_id % 50 = 0""",
+)
+def _(t: Tables):
+    contract = replace(EVENT_CONTRACT, required_columns=("post_id", "author"))
+    return stream_metrics(t.spark, _raw_event_files(t), EVENT_SCHEMA, contract, t.scratch("metrics"), t.scratch("progress"), files_per_trigger=2)
+
+
 def length_model():
     """A stand-in for a user model: letter statistics of the whole text."""
     import numpy as np

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.operators.components import connected_components
 from topicloom.operators.ranking import dense_ids
-from topicloom.session import materialize
+from topicloom.session import discard, materialize
 
-# A level ends after PATIENCE rounds in a row that gain less than MIN_GAIN; every round is a shuffle of all edges.
-MIN_GAIN = 1e-3
-PATIENCE = 1
+# A level ends after PATIENCE rounds in a row that gain less than MIN_GAIN; only half of the nodes move per round, so one
+# weak round proves little. Searches that reach MAX_ROUNDS or MAX_LEVELS first say so in a warning.
+MIN_GAIN = 1e-4
+PATIENCE = 3
 MAX_ROUNDS = 30
 MAX_LEVELS = 20
 
@@ -49,7 +52,7 @@ def modularity(edges: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def _local_moves(edges: DataFrame, nodes: DataFrame, total: float, min_gain: float, patience: int) -> tuple[DataFrame, float]:
+def _local_moves(edges: DataFrame, nodes: DataFrame, total: float, min_gain: float, patience: int, max_rounds: int) -> tuple[DataFrame, float]:
     """Move nodes between communities until modularity settles; the best state seen and its modularity.
 
     ``edges``: ``src, dst, w`` both ways. ``nodes``: ``id, loop, deg, comm``. Half of the nodes move per round, picked
@@ -58,7 +61,8 @@ def _local_moves(edges: DataFrame, nodes: DataFrame, total: float, min_gain: flo
     """
     best_state, best_q, last_q, idle = nodes, None, None, 0
     nodes = nodes.selectExpr("*", "0 AS turn")
-    for _ in range(MAX_ROUNDS):
+    before = None
+    for _ in range(max_rounds):
         totals = nodes.groupBy("comm").agg(F.expr("sum(deg) AS tot"))
         placed = nodes.join(totals, "comm").selectExpr("id", "comm AS near", "tot")
         near = edges.join(placed.withColumnRenamed("id", "dst"), "dst").select("src", "near", "tot", "w")
@@ -93,67 +97,99 @@ def _local_moves(edges: DataFrame, nodes: DataFrame, total: float, min_gain: flo
         # Summed over nodes, degree times community total is the sum of squared totals.
         seen = state.selectExpr("sum(inside + loop) AS within", "sum(deg * tot) AS squares", "count_if(wants) AS wants").first()
         q = seen["within"] / total - seen["squares"] / (total * total)
+        # Of the rounds only the best and the last are read again.
         if best_q is None or q > best_q:
-            best_q, best_state = q, state.select("id", "loop", "deg", "comm")
+            if before is not None:
+                discard(before)
+            best_q, best_round = q, state
+            best_state = state.select("id", "loop", "deg", "comm")
+        elif before is not None and before is not best_round:
+            discard(before)
+        before = state
         idle = idle + 1 if last_q is not None and q - last_q < min_gain else 0
         last_q = q
         if not seen["wants"] or idle >= patience:
             break
         nodes = state.selectExpr("id", "loop", "deg", "next AS comm", "turn")
+    else:
+        warnings.warn(f"communities still change after {max_rounds} rounds", stacklevel=2)
     return best_state, best_q
 
 
-def _connected_parts(edges: DataFrame, state: DataFrame) -> DataFrame:
-    """Communities cut into their connected parts, each named by its smallest node."""
-    at_src = state.select(F.col("id").alias("src"), F.col("comm").alias("part"))
-    at_dst = state.select(F.col("id").alias("dst"), F.col("comm").alias("part_dst"))
-    inside = edges.join(at_src, "src").join(at_dst, "dst").where(F.col("part") == F.col("part_dst")).select("part", "src", "dst")
-    roots = connected_components(inside).select("id", "root")
-    return materialize(state.join(roots, "id", "left").select("id", "loop", "deg", F.coalesce("root", "id").alias("comm")), "connected")
+def _within(edges: DataFrame, members: DataFrame) -> DataFrame:
+    """``part, src, dst, w``: the edges whose ends are in the same community of ``id, comm``."""
+    at_src = members.select(F.col("id").alias("src"), F.col("comm").alias("part"))
+    at_dst = members.select(F.col("id").alias("dst"), F.col("comm").alias("part_dst"))
+    return edges.join(at_src, "src").join(at_dst, "dst").where(F.col("part") == F.col("part_dst")).select("part", "src", "dst", "w")
+
 
+def _refined(edges: DataFrame, state: DataFrame, total: float, limits: tuple[float, int, int]) -> DataFrame:
+    """``id, loop, deg, comm, sub``: the nodes of each community grouped anew, starting alone, along its own edges only."""
+    inside = materialize(_within(edges, state).select("src", "dst", "w"), "inside")
+    parts, _ = _local_moves(inside, materialize(state.withColumn("comm", F.col("id")), "alone"), total, *limits)
+    return materialize(state.join(parts.select("id", F.col("comm").alias("sub")), "id"), "refined")
 
-def communities(nodes: DataFrame, edges: DataFrame, connected: bool = False, min_gain: float = MIN_GAIN, patience: int = PATIENCE) -> DataFrame:
+
+def communities(
+    nodes: DataFrame,
+    edges: DataFrame,
+    connected: bool = False,
+    min_gain: float = MIN_GAIN,
+    patience: int = PATIENCE,
+    max_rounds: int = MAX_ROUNDS,
+    max_levels: int = MAX_LEVELS,
+) -> DataFrame:
     """``id, comm`` for every node of ``nodes`` (``id``) on ``a, b, w`` edges.
 
     Local moves, then contraction to one node per community, until modularity stops growing. With ``connected`` the
-    communities of each level are cut into connected parts before they are contracted. Nodes without edges stay alone.
+    nodes of each community are grouped anew inside it first, and those groups are contracted; they start the next
+    level in their community and may leave it. Communities are cut into their connected parts in the end. Nodes without
+    edges stay alone.
     """
+    limits = (min_gain, patience, max_rounds)
     base = materialize(edges, "graph")
-    links = materialize(_both_ways(base), "links")
+    whole = links = materialize(_both_ways(base), "links")
     total = links.agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("t")).first()["t"]
     everyone = materialize(nodes.select("id").distinct(), "nodes")
-    members = everyone.withColumn("comm", F.col("id"))
+    members = everyone.withColumn("node", F.col("id"))
+    answer = everyone.withColumn("comm", F.col("id"))
     if not total:
-        return members
+        return answer
     degree = links.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("deg"))
     level = everyone.join(degree, "id", "left").select(
         "id", F.lit(0.0).alias("loop"), F.coalesce("deg", F.lit(0.0)).alias("deg"), F.col("id").alias("comm")
     )
     level = materialize(level, "level")
     last_q = None
-    for _ in range(MAX_LEVELS):
-        state, q = _local_moves(links, level, total, min_gain, patience)
+    for _ in range(max_levels):
+        state, q = _local_moves(links, level, total, *limits)
         if last_q is not None and q - last_q < min_gain:
             break
         last_q = q
-        if connected:
-            state = _connected_parts(links, state)
-        members = materialize(
-            members.withColumnRenamed("comm", "node").join(state.select(F.col("id").alias("node"), "comm"), "node").select("id", "comm"),
-            "members",
-        )
-        at_src, at_dst = (state.select(F.col("id").alias(side), F.col("comm").alias(f"c_{side}")) for side in ("src", "dst"))
+        state = _refined(links, state, total, limits) if connected else state.withColumn("sub", F.col("comm"))
+        placed = members.join(state.select(F.col("id").alias("node"), "comm", "sub"), "node")
+        placed = materialize(placed.select("id", "comm", F.col("sub").alias("node")), "members")
+        answer, members = placed.select("id", "comm"), placed.select("id", "node")
+        at_src, at_dst = (state.select(F.col("id").alias(side), F.col("sub").alias(f"c_{side}")) for side in ("src", "dst"))
         summed = links.join(at_src, "src").join(at_dst, "dst").groupBy("c_src", "c_dst").agg(F.sum("w").alias("w"))
         summed = materialize(summed, "contracted")
         inner = summed.where(F.col("c_src") == F.col("c_dst")).select(F.col("c_src").alias("id"), F.col("w").alias("inner"))
-        grown = state.groupBy(F.col("comm").alias("id")).agg(F.sum("loop").alias("loop"), F.sum("deg").alias("deg")).join(inner, "id", "left")
+        grown = state.groupBy(F.col("sub").alias("id")).agg(F.sum("loop").alias("loop"), F.sum("deg").alias("deg"), F.min("comm").alias("comm"))
+        # A community is named by one of the nodes that make it up now.
+        names = grown.groupBy("comm").agg(F.min("id").alias("name"))
+        grown = grown.join(names, "comm").join(inner, "id", "left")
         level = materialize(
-            grown.select("id", (F.col("loop") + F.coalesce("inner", F.lit(0.0))).alias("loop"), "deg", F.col("id").alias("comm")), "level"
+            grown.select("id", (F.col("loop") + F.coalesce("inner", F.lit(0.0))).alias("loop"), "deg", F.col("name").alias("comm")), "level"
         )
         links = summed.where(F.col("c_src") != F.col("c_dst")).select(F.col("c_src").alias("src"), F.col("c_dst").alias("dst"), "w")
         if links.isEmpty():
             break
-    return members
+    else:
+        warnings.warn(f"communities still grow after {max_levels} levels", stacklevel=2)
+    if not connected:
+        return answer
+    roots = connected_components(_within(whole, answer).select("part", "src", "dst")).select("id", "root")
+    return materialize(answer.join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("comm")), "connected")
 
 
 def number_communities(members: DataFrame) -> DataFrame:

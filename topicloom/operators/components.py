@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.session import materialize
+from topicloom.session import discard, materialize
 
 MAX_ROUNDS = 100
 
@@ -34,7 +34,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = both.where("v > u").join(low, ["part", "u"]).selectExpr("part", "v AS u", "m AS v").distinct()
         least = large.groupBy("part", "u").agg(F.expr("min(v) AS m"))
         down = large.join(least, ["part", "u"]).where("v <> m").selectExpr("part", "v AS u", "m AS v")
-        edges = materialize(down.union(least.selectExpr("part", "u", "m AS v")).distinct(), "links")
+        before, edges = edges, materialize(down.union(least.selectExpr("part", "u", "m AS v")).distinct(), "links")
+        discard(before)
     else:
         raise RuntimeError("components did not settle")
     members = edges.selectExpr("part", "u AS id", "v AS root")

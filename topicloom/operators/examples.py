@@ -8,20 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.functions.text import numeric_score, title_and_body
-from topicloom.functions.vectors import cosine
-from topicloom.operators.centroids import topic_centroids
+from topicloom.functions.vectors import as_vector
+from topicloom.operators.centroids import own_similarity, topic_centroids
 from topicloom.operators.ranking import collect_ranked, top_per_group
 
 
 def central_posts(posts: DataFrame, limit: int, group: Sequence[str] = ("topic",), keep: Sequence[str] = ("text",)):
     """Per group the ``limit`` posts nearest the mean of the whole group, with rank and similarity.
 
-    All groups are served by one aggregate and one join; noise has no group.
+    All groups are served by one aggregate, and centroids go to the posts: neither vectors nor texts are shuffled by
+    group. Noise has no group.
     """
-    rows = posts.select(*group, "post_id", "embedding", *keep)
-    centers = topic_centroids(rows, group).drop("size")
-    scored = rows.join(centers, list(group)).withColumn("sim", cosine(F.col("embedding"), F.col("centroid")))
-    return top_per_group(scored.drop("embedding", "centroid"), list(group), [F.desc("sim"), F.asc("post_id")], limit)
+    rows = posts.select(*group, "post_id", as_vector(F.col("embedding")).alias("embedding"), *keep)
+    scored = own_similarity(rows, topic_centroids(rows, group), group)
+    return top_per_group(scored.drop("embedding"), list(group), [F.desc("sim"), F.asc("post_id")], limit)
 
 
 def central_examples(posts: DataFrame, limit: int, max_chars: int, group: Sequence[str] = ("topic",)) -> DataFrame:

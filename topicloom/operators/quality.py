@@ -39,13 +39,18 @@ def is_missing(df: DataFrame, column: str) -> Column:
 
 
 def metric_columns(df: DataFrame, contract: DataContract, absent_is_null: bool = False) -> list[Column]:
-    """Aggregates of one pass: rows, nulls per required column, unreadable dates."""
+    """Aggregates of one pass: rows, nulls per required column, unreadable dates.
+
+    With ``absent_is_null`` (tables that arrive in parts) a column that is not there counts as null in every row and
+    is reported as missing too.
+    """
     out = [F.count(F.lit(1)).alias("total_rows")]
     for c in contract.required_columns:
         if c in df.columns:
             out.append(F.count_if(is_missing(df, c)).alias(f"null:{c}"))
         elif absent_is_null:
             out.append(F.count(F.lit(1)).alias(f"null:{c}"))
+            out.append(F.lit(1).cast("bigint").alias(f"missing:{c}"))
     d = contract.date_column
     bad = F.count_if(F.col(d).isNull()) if d in df.columns else F.lit(0).cast("bigint")
     out.append(bad.alias("invalid_dates"))
@@ -58,7 +63,7 @@ def long_metrics(wide: DataFrame, contract: DataContract) -> DataFrame:
     for c in contract.required_columns:
         if f"null:{c}" in wide.columns:
             items.append(F.struct(F.lit("null_count").alias("metric"), F.lit(c).alias("column_name"), F.col(f"`null:{c}`").alias("value")))
-        else:
+        if f"null:{c}" not in wide.columns or f"missing:{c}" in wide.columns:
             items.append(
                 F.struct(F.lit("missing_column").alias("metric"), F.lit(c).alias("column_name"), F.lit(1).cast("bigint").alias("value"))
             )
@@ -68,9 +73,9 @@ def long_metrics(wide: DataFrame, contract: DataContract) -> DataFrame:
     return wide.select(F.inline(F.array(*items)))
 
 
-def validation_metrics(df: DataFrame, contract: DataContract) -> DataFrame:
+def validation_metrics(df: DataFrame, contract: DataContract, absent_is_null: bool = False) -> DataFrame:
     """Validation metrics in long form, from a single pass over the table."""
-    return long_metrics(df.agg(*metric_columns(df, contract)), contract)
+    return long_metrics(df.agg(*metric_columns(df, contract, absent_is_null)), contract)
 
 
 def violations(metrics: DataFrame, contract: DataContract) -> DataFrame:

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPREAD = 64
-# Samples up to this size are sorted directly; larger ones use this many hash bits for their ranges.
-SORTED_SAMPLE = 100_000
+# Samples are cut by this many bits of the hash.
 RANGE_BITS = 16
 
 
@@ -48,12 +47,10 @@ def collect_ranked(df: DataFrame, group: Sequence[str], value: str, rank: str =
 def sample_exact(df: DataFrame, rows: int, seed: int, key: str = "post_id") -> DataFrame:
     """Exactly ``rows`` rows (all when there are fewer), the same ones for every partitioning.
 
-    Rows are taken in the order of a seeded hash. A large sample is cut by hash ranges, so that only the rows of the
-    range in which the sample ends are sorted.
+    Rows are taken in the order of a seeded hash, which is cut by ranges: only the rows of the range in which the sample
+    ends are sorted, and whole rows are read for the sample alone.
     """
     place = F.xxhash64(F.col(key), F.lit(seed))
-    if rows <= SORTED_SAMPLE:
-        return df.orderBy(place, F.col(key)).limit(rows)
     reach = F.shiftright(place, 64 - RANGE_BITS)
     counts = df.groupBy(reach.alias("range")).agg(F.count(F.lit(1)).alias("n")).collect()
     left = rows

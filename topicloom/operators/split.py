@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -16,7 +17,8 @@ from topicloom.session import materialize
 
 # Fixed value: topics with fewer posts are not split.
 MIN_ROWS = 4
-ROUNDS = 20
+# Rounds after which a split that still moves is given up with a warning.
+ROUNDS = 300
 
 
 def _distance2(a, b):
@@ -34,8 +36,10 @@ def _starts(rows: DataFrame) -> DataFrame:
 def _farthest(rows: DataFrame, centers: DataFrame, name: str) -> DataFrame:
     away = rows.join(centers, "topic").select("topic", "post_id", "embedding", _distance2(F.col("embedding"), F.col("centroid")).alias("d"))
     # Largest distance, then smallest id; rounding keeps equal distances equal whatever the batch.
-    best = F.min(F.struct((-F.round("d", 12)).alias("minus"), "post_id", "embedding")).alias("m")
-    return away.groupBy("topic").agg(best).select("topic", F.col("m.embedding").alias(name))
+    best = F.min(F.struct((-F.round("d", 12)).alias("minus"), "post_id")).alias("m")
+    winner = away.drop("embedding").groupBy("topic").agg(best).select("topic", F.col("m.post_id").alias("post_id"))
+    # Vectors are read for the winners only; a repeated id counts once.
+    return rows.join(winner, ["topic", "post_id"]).dropDuplicates(["topic"]).select("topic", F.col("embedding").alias(name))
 
 
 def _sides(matrix: np.ndarray, place: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -77,6 +81,9 @@ def _round(rows: DataFrame, topics: np.ndarray, centers: np.ndarray):
 def split_topics(posts: DataFrame, topics: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``post_id, topic, side``: the posts of the given topics cut in two; topics under four posts stay out.
 
+    Every topic gives two halves. Where all vectors are equal there is nothing to tell them apart by, and a hash of the
+    id does, with the smallest and the largest id on different sides.
+
     The centers of a round are two vectors per approved topic, shipped only while they fit the size bound; more
     topics than that are taken in batches.
     """
@@ -85,19 +92,25 @@ def split_topics(posts: DataFrame, topics: DataFrame, rounds: int = ROUNDS) -> D
     sizes = rows.groupBy("topic").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_ROWS)
     rows = materialize(rows.join(sizes.select("topic"), "topic", "left_semi"), "split-rows")
     starts = materialize(_starts(rows), "split-starts")
+    same = starts.where(F.col("first") == F.col("second")).select("topic")
+    ends = rows.join(same, "topic", "left_semi").groupBy("topic").agg(F.min("post_id").alias("low"), F.max("post_id").alias("high"))
+    by_id = F.when(F.col("post_id") == F.col("low"), 0).when(F.col("post_id") == F.col("high"), 1).otherwise(F.pmod(F.xxhash64("post_id"), F.lit(2)))
+    equal = rows.join(ends, "topic").select("post_id", "topic", by_id.cast("int").alias("side"))
+    starts = starts.where(F.col("first") != F.col("second"))
+    rows = rows.join(starts.select("topic"), "topic", "left_semi")
     schema = T.StructType([rows.schema["post_id"], rows.schema["topic"], T.StructField("side", T.IntegerType())])
     width = starts.select(F.max(F.size("first")).alias("w")).first()["w"]
     if not width:
-        return rows.sparkSession.createDataFrame([], schema)
+        return equal
     per_batch = max(1, SHIPPED_BYTES // (16 * width))
     batches = max(1, -(-starts.count() // per_batch))
-    out = None
+    out = equal
     for b in range(batches):
         here = F.pmod(F.xxhash64("topic"), F.lit(batches)) == b
         found = _split_batch(rows.where(here), starts.where(here), rounds, schema)
         if batches > 1:
             found = materialize(found, "split-sides")
-        out = found if out is None else out.unionByName(found)
+        out = out.unionByName(found)
     return out
 
 
@@ -112,6 +125,8 @@ def _split_batch(rows: DataFrame, starts: DataFrame, rounds: int, schema: T.Stru
         if np.allclose(moved, centers, rtol=0, atol=1e-12):
             break
         centers = moved
+    else:
+        warnings.warn(f"the halves of some topics still move after {rounds} rounds", stacklevel=2)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -25,17 +25,17 @@ CONSENSUS_JACCARD = 0.6
 JITTER_FLOOR_SAMPLES = 2
 
 
-def graph_cluster(posts: DataFrame, k: int = GRAPH_NEIGHBORS, method: str = "leiden", top_n: int = TOP_N, weighted: bool | None = None):
+def graph_cluster(posts: DataFrame, k: int = GRAPH_NEIGHBORS, method: str = "leiden", top_n: int = TOP_N, weighted: bool | None = None, **limits):
     """Neighbour graph, communities, top topics. Every post gets a topic; there is no noise.
 
-    ``leiden`` keeps communities connected and counts mutual neighbours twice; ``louvain`` uses similarities as weights.
+    ``limits`` go to the community search (min_gain, patience, max_rounds, max_levels). ``leiden`` keeps communities connected and counts mutual neighbours twice; ``louvain`` uses similarities as weights.
     """
     if method not in ("leiden", "louvain"):
         raise ValueError(f"unknown method {method!r}")
     near = materialize(nearest_neighbors(posts, k), "neighbors")
     by_similarity = weighted if weighted is not None else method == "louvain"
     edges = simple_graph(near) if by_similarity else multi_graph(near)
-    members = communities(posts.select(F.col("post_id").alias("id")), edges, connected=method == "leiden")
+    members = communities(posts.select(F.col("post_id").alias("id")), edges, connected=method == "leiden", **limits)
     clusters = materialize(number_communities(members), "clusters")
     return with_assignments(posts, clusters, top_n)
 
@@ -96,10 +96,15 @@ def two_stage_cluster(
     split_min_size: int,
     top_n: int = TOP_N,
     reassign_threshold: float | None = None,
+    components: int | None = None,
 ) -> DataFrame:
-    """Density clusters, large ones clustered again inside; a topic is replaced only when it yields several parts."""
-    labels = materialize(density_cluster_labels(posts, [first]).select("post_id", "topic"), "labels")
-    rows = posts.select("post_id", "embedding").join(labels, "post_id")
+    """Density clusters, large ones clustered again inside; a topic is replaced only when it yields several parts.
+
+    ``components`` reduces the vectors for the search for clusters; centroids and scores use the full ones.
+    """
+    reduced = _reduced(posts, components)
+    labels = materialize(density_cluster_labels(reduced, [first]).select("post_id", "topic"), "labels")
+    rows = reduced.select("post_id", "embedding").join(labels, "post_id")
     parts = materialize(_split_within(rows, split_min_size, second), "parts")
     keys = parts.where(F.col("sub").isNotNull()).select("grp", "rank", "sub").distinct()
     start = next_topic_id(labels)
@@ -110,10 +115,11 @@ def two_stage_cluster(
     return finish(rows, top_n, reassign_threshold, recompute_centroids=True)
 
 
-def sub_topics(posts: DataFrame, clusters: DataFrame, setting: DensitySetting, min_size: int, top_n: int = TOP_N) -> DataFrame:
+def sub_topics(posts: DataFrame, clusters: DataFrame, setting: DensitySetting, min_size: int, top_n: int = TOP_N, components: int | None = None) -> DataFrame:
     """The third level: parts of each large topic with consecutive ids; every other post is -1 and keeps its parent."""
     rows = clusters.select("post_id", "topic").join(posts.select("post_id", "embedding"), "post_id")
-    parts = materialize(_split_within(rows, min_size, setting), "parts")
+    near = rows if components is None else clusters.select("post_id", "topic").join(_reduced(posts, components).select("post_id", "embedding"), "post_id")
+    parts = materialize(_split_within(near, min_size, setting), "parts")
     keys = parts.where(F.col("sub").isNotNull()).select("grp", "rank", "sub").distinct()
     ids = dense_ids(keys, ["rank", "sub"], "l3").select("grp", "sub", "l3")
     named = parts.join(ids, ["grp", "sub"]).select("post_id", "l3")
@@ -124,9 +130,9 @@ def sub_topics(posts: DataFrame, clusters: DataFrame, setting: DensitySetting, m
     return top_n_topics(final, topic_centroids(final), top_n, ["post_id", "topic", "parent_topic"])
 
 
-def tune(posts: DataFrame, settings: Sequence[DensitySetting], reassign_threshold: float | None = None) -> DataFrame:
+def tune(posts: DataFrame, settings: Sequence[DensitySetting], reassign_threshold: float | None = None, components: int | None = None) -> DataFrame:
     """One row per setting with its cluster metrics, least noise first. The similarities are computed once for all."""
-    labels = materialize(density_cluster_labels(posts, settings), "grid")
+    labels = materialize(density_cluster_labels(_reduced(posts, components), settings), "grid")
     if reassign_threshold is not None:
         labels = materialize(_reassign_runs(posts, labels, settings, reassign_threshold), "grid-reassigned")
     rows = [(s.run, s.min_cluster_size, s.min_samples, float(s.min_sim)) for s in settings]
@@ -165,9 +171,10 @@ def stability_cluster(
     jaccard: float = CONSENSUS_JACCARD,
     votes: int = CONSENSUS_VOTES,
     top_n: int = TOP_N,
+    components: int | None = None,
 ) -> DataFrame:
     """Several density runs, mapped to the first one and voted on per post."""
-    runs = materialize(density_cluster_labels(posts, settings), "runs")
+    runs = materialize(density_cluster_labels(_reduced(posts, components), settings), "runs")
     return with_assignments(posts, materialize(combine_runs(runs, jaccard, votes), "consensus"), top_n)
 
 

@@ -150,7 +150,7 @@ def anchor_prompts(
     """``l2_topic, l2_rank, l2_label, post_count, prompt`` for large enough topics, largest first."""
     order = Window.orderBy(F.desc("size"), F.asc("topic"))
     large = largest_topics(posts, l2_limit, min_size).withColumn("l2_rank", F.row_number().over(order))
-    rows = posts.join(F.broadcast(large.select("topic")), "topic", "left_semi")
+    rows = posts.join(large.select("topic"), "topic", "left_semi")
     examples = scored_examples(rows, sample_size, max_chars).where(F.size("examples") > 0)
     base = large.join(examples, "topic").select(F.col("topic").alias("l2_topic"), "l2_rank", F.col("size").alias("post_count"), "examples")
     base = _labelled(base, l2_labels, "l2_topic", "L2", "l2_label")

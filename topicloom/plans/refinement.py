@@ -64,7 +64,7 @@ def merge_candidates(posts: DataFrame, min_sim: float = MERGE_SIMILARITY, limit:
 def merge_prompts(posts: DataFrame, pairs: DataFrame, sample_size: int = SAMPLE_SIZE, max_chars: int = MAX_CHARS) -> DataFrame:
     """The pairs with one question each."""
     named = pairs.select(F.explode(F.array("topic_a", "topic_b")).alias("topic")).distinct()
-    examples = central_examples(posts.join(F.broadcast(named), "topic", "left_semi"), sample_size, max_chars)
+    examples = central_examples(posts.join(named, "topic", "left_semi"), sample_size, max_chars)
     side = {s: examples.select(F.col("topic").alias(f"topic_{s}"), join_examples(F.col("examples")).alias(f"ex_{s}")) for s in "ab"}
     prompt = fill_prompt(
         MERGE_PROMPT, topic_a=F.col("topic_a"), examples_a=F.col("ex_a"), topic_b=F.col("topic_b"), examples_b=F.col("ex_b")
@@ -130,7 +130,7 @@ def refine(
     roots = connected_components(
         asked.where("merge").select(F.lit(0).alias("part"), F.col("topic_a").alias("src"), F.col("topic_b").alias("dst"))
     ).select(F.col("id").alias("topic"), "root")
-    final = rows.join(F.broadcast(roots), "topic", "left").withColumn("topic", F.coalesce("root", "topic")).drop("root")
+    final = rows.join(roots, "topic", "left").withColumn("topic", F.coalesce("root", "topic")).drop("root")
     if relabel_always or had_pairs:
         final = relabel(final)
     final = materialize(final.select("post_id", "topic", "embedding"), "refined")
@@ -154,7 +154,7 @@ def relabel(rows: DataFrame) -> DataFrame:
     """Topics renumbered from 0 by their smallest post id; noise stays."""
     firsts = rows.where(F.col("topic") != -1).groupBy("topic").agg(F.min("post_id").alias("first_post"))
     ids = dense_ids(firsts, ["first_post"], "dense").select("topic", "dense")
-    return rows.join(F.broadcast(ids), "topic", "left").withColumn("topic", F.coalesce("dense", F.lit(-1))).drop("dense")
+    return rows.join(ids, "topic", "left").withColumn("topic", F.coalesce("dense", F.lit(-1))).drop("dense")
 
 
 def refinement_report(checked: DataFrame, ids: DataFrame, asked: DataFrame, had_pairs: bool) -> DataFrame:

@@ -60,4 +60,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._round_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote, once nothing is going to be read from it any more."""
+    path = getattr(table, "_round_path", None)
+    if path is None:
+        return
+    spark = table.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

@@ -25,11 +25,11 @@ def suffix_of(path: str) -> str:
     return "." + name.rsplit(".", 1)[1].lower() if "." in name else ""
 
 
-def read_tabular(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_tabular(spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True) -> DataFrame:
     """A CSV, Parquet or JSON Lines table by the suffix of its path; anything else is an error."""
     suffix = suffix_of(path)
     if suffix in CSV_SUFFIXES:
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, multi_line)
     if suffix in PARQUET_SUFFIXES:
         return spark.read.parquet(str(path))
     if suffix in JSON_SUFFIXES:
@@ -38,18 +38,21 @@ def read_tabular(spark: SparkSession, path: str, schema: T.StructType | str | No
     raise ValueError(f"Unsupported file type: {suffix}. Supported: .csv, .parquet, .jsonl")
 
 
-def _csv(spark: SparkSession):
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def _csv(spark: SparkSession, multi_line: bool):
+    return spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """A CSV table with a header; the usual spellings of a missing value become null.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+    """A CSV table with a header; the usual spellings of a missing value become null if they are the whole text.
+
+    A file whose quoted fields may span lines is read by one task. With ``multi_line=False`` (the choice for large plain
+    files) it is split among many.
 
     With ``schema`` (the choice for large inputs) the file is read once; without it a column takes the narrowest of
     long, double, boolean and string that fits all of its values, which costs one extra pass.
     """
-    text = _csv(spark).csv(str(path))
-    blank = [F.when(~F.trim(F.col(f"`{c}`")).isin(*NULL_TOKENS), F.col(f"`{c}`")).alias(c) for c in text.columns]
+    text = _csv(spark, multi_line).csv(str(path))
+    blank = [F.when(~F.col(f"`{c}`").isin(*NULL_TOKENS), F.col(f"`{c}`")).alias(c) for c in text.columns]
     cleaned = text.select(*blank)
     if schema is not None:
         fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
@@ -76,7 +79,7 @@ def _narrow(text: DataFrame) -> DataFrame:
 
 def read_labels(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A label, keyword or hierarchy CSV; quoted fields may span lines."""
-    return read_csv(spark, path, schema)
+    return read_csv(spark, path, schema, multi_line=True)
 
 
 def read_raw_folder(spark: SparkSession, folder: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -86,20 +89,13 @@ def read_raw_folder(spark: SparkSession, folder: str, schema: T.StructType | str
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     for pattern in ("*.jsonl", "*.json"):
-        files = _listed(spark, folder, pattern)
-        if files:
-            rows = reader.json(files)
+        present = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(str(folder)).select("path")
+        if not present.isEmpty():
+            rows = reader.option("pathGlobFilter", pattern).json(str(folder))
             return rows.select("*", F.col("_metadata.file_name").alias(LINEAGE))
     raise FileNotFoundError(f"no .jsonl or .json files in {folder}")
 
 
-def _listed(spark: SparkSession, folder: str, pattern: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{str(folder).rstrip('/')}/{pattern}")
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(s.getPath().toString() for s in (found or []))
-
-
 def read_jsonl_stream(spark: SparkSession, folder: str, schema: T.StructType | str, files_per_trigger: int | None = None):
     """JSON Lines files as a stream of micro-batches of bounded size."""
     reader = spark.readStream.schema(schema)

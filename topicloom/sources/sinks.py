@@ -16,9 +16,15 @@ def write_stage(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A small result table as one CSV file with a header."""
-    writer = df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"')
+def write_csv(df: DataFrame, path: str, order: Sequence[str] = (), files: int | None = None) -> None:
+    """A table as CSV with a header, in as many files as it has partitions.
+
+    ``files`` deals the finished rows anew (1: the one file of a small report), so that what computes them keeps all of
+    its tasks; ``order`` sorts the rows of each file.
+    """
+    table = df if files is None else df.repartition(files)
+    table = table.sortWithinPartitions(*order) if order else table
+    writer = table.write.mode("overwrite").option("header", True).option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from topicloom.contract import DataContract
 from topicloom.operators.embed import ModelFactory, embed_with_model, text_table
-from topicloom.operators.quality import canonical, enforce, long_metrics, metric_columns, stringify_extras
+from topicloom.operators.quality import canonical, enforce, long_metrics, metric_columns, stringify_extras, validation_metrics
 from topicloom.sources.readers import read_jsonl_stream
 
 
@@ -21,10 +21,18 @@ def _drain(df: DataFrame, path: str, checkpoint: str) -> None:
 
 def stream_canonical(
     spark: SparkSession, folder: str, schema: T.StructType | str, contract: DataContract, output: str, checkpoint: str, files_per_trigger: int | None = None
-) -> None:
-    """Canonical export of every file that arrived, exactly once, in micro-batches of bounded size."""
-    raw = read_jsonl_stream(spark, folder, schema, files_per_trigger)
-    _drain(stringify_extras(canonical(raw, contract), contract), output, checkpoint)
+) -> DataFrame:
+    """Canonical export of every file that arrived, exactly once, in micro-batches of bounded size; returns the metrics.
+
+    When the files that are there have been written, all that was exported so far is held against the contract: a
+    required column that is absent or a limit that is broken is an error. A required column that is absent counts
+    as null in every row.
+    """
+    rows = stringify_extras(canonical(read_jsonl_stream(spark, folder, schema, files_per_trigger), contract), contract)
+    _drain(rows, output, checkpoint)
+    metrics = validation_metrics(spark.read.schema(rows.schema).parquet(output), contract, absent_is_null=True)
+    enforce(metrics, contract)
+    return metrics
 
 
 def stream_metrics(
@@ -34,7 +42,7 @@ def stream_metrics(
     raw = canonical(read_jsonl_stream(spark, folder, schema, files_per_trigger), contract)
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.agg(*metric_columns(batch, contract)).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        batch.agg(*metric_columns(batch, contract, absent_is_null=True)).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
 
     query = raw.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
