@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 # Rows that one window slice should hold at most, on average.
 SLICE_ROWS = 1 << 16
 # Bytes of text that a task works on at once.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,6 +63,8 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
             end = max(start + 1, int(np.searchsorted(total, base + limit, side="right")))
             yield batch.slice(start, end - start)
             start = end
+    # Workers are used again by later tasks, which need the memory.
+    pa.default_memory_pool().release_unused()
 
 
 def text_bytes(column: pa.Array):

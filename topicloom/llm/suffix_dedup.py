@@ -19,7 +19,7 @@ MIN_BYTES = 400
 # Bytes whose hash decides which place of a string is its anchor: at most this many, and half the string.
 GRAM = 32
 # Bits of a key that hold the place within a piece of text; longer texts are cut into pieces that overlap.
-PLACE_BITS = 24
+PLACE_BITS = 21
 # Strings that are sorted together.
 BATCH_ITEMS = 40_000
 
