@@ -6,17 +6,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructType
 
-from topicloom.llm.common import text_chunks, word_codes
+from topicloom.llm.common import mixed, text_chunks, word_codes
+from topicloom.session import materialize
 
 # Bounds of the fitted model: labelled rows in the sample, and terms that are kept.
 MAX_EXAMPLES = 16_000
 MAX_TERMS = 20_000
-# A term is kept when it stands in this many sampled texts, and toxic ones among them are this many deviations too many.
+# A term is kept when it stands in this many sampled texts, this share of them is toxic, and that is this many
+# deviations more than among all.
 MIN_TEXTS = 4
+MIN_SHARE = 0.3
 MIN_DEVIATIONS = 6.0
 # Word beginnings of these lengths (in bytes) are terms beside the words themselves.
 PREFIXES = (4, 5, 6, 7, 8)
@@ -25,6 +29,8 @@ BLOCK = 64
 THRESHOLD = 0.7
 # Votes weigh similarity to this power; the prior counts as one vote of this weight.
 POWER = 6
+# Near-copies among the examples count once: texts of one label that share a min-hash of their words of this many bytes.
+LONG_WORD = 8
 PRIOR_WEIGHT = 0.05
 
 _LETTERS = np.full(256, 32, np.uint8)
@@ -42,6 +48,25 @@ def terms_of(word: bytes) -> list[bytes]:
     return [word, *(b"^" + word[:n] for n in PREFIXES if len(word) > n)]
 
 
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Three min-hashes of each text's long words, which near-copies mostly share and other texts hardly ever."""
+    for batch in text_chunks(batches):
+        rows, codes, words = words_of(batch.column("text"))
+        hashed = hash_array(np.array(words, dtype=object), categorize=False) if words else np.zeros(0, np.uint64)
+        long = np.array([len(w) >= LONG_WORD for w in words], bool)
+        keep = long[codes] if len(codes) else np.zeros(0, bool)
+        rows, codes = rows[keep], codes[keep]
+        # A text without long words stands for itself.
+        whole = hash_array(np.array(batch.column("text").to_pylist(), dtype=object), categorize=False)
+        least = [whole.copy() for _ in range(3)]
+        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else np.zeros(0, np.int64)
+        for i, one in enumerate(least):
+            if len(rows):
+                one[rows[first]] = np.minimum.reduceat(mixed(hashed[codes] + np.uint64(i + 1)), first)
+        marks = [pa.array(one.view(np.int64)) for one in least]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), batch.column("toxic"), *marks], names=["doc_id", "text", "toxic", "s0", "s1", "s2"])
+
+
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_chunks(batches):
         rows, codes, words = words_of(batch.column("text"))
@@ -168,13 +193,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
 
     Learns from at most ``max_examples`` labelled rows whose crc32(doc_id as text) mod 3 is not 1, taken in the order of
     the md5 of their id. Several labels of one document count as toxic if any is; null labels or ids are left out;
-    equal texts count once per label.
+    near-copies count once per label.
     """
     may = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3) != 1
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & may).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     sample = known.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(max_examples)
     # The sample has a fixed bound: an id and a label each.
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = rows.mapInArrow(_signatures, f"doc_id {kind}, text string, toxic int, s0 long, s1 long, s2 long")
+    for mark in ("s0", "s1", "s2"):
+        one = F.min_by(F.struct("doc_id", "text", "s0", "s1", "s2"), F.struct("doc_id", "text")).alias("one")
+        rows = rows.groupBy(mark, "toxic").agg(one).select("one.*", "toxic")
+    rows = materialize(rows.select("doc_id", "text", "toxic"), "toxicity-sample")
     counted = rows.select("text", "toxic").mapInArrow(_term_counts, "term binary, n long, bad long")
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad")).first()
     if not size["n"]:
@@ -184,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
     excess = (F.col("bad") - F.col("n") * share) / F.sqrt(F.col("n") * spread)
     kept = (
         counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-        .where((F.col("n") >= MIN_TEXTS) & (excess >= MIN_DEVIATIONS))
+        .where((F.col("n") >= MIN_TEXTS) & (F.col("bad") >= F.col("n") * MIN_SHARE) & (excess >= MIN_DEVIATIONS))
         .orderBy(F.desc(excess), "term").limit(MAX_TERMS).collect()
     )
     terms = {bytes(r["term"]): i for i, r in enumerate(kept)}
@@ -200,8 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
             )
 
     schema = "doc_id long, toxic int, terms array<long>, counts array<long>, words long"
-    distinct = rows.dropDuplicates(["text", "toxic"])
-    examples = sorted(distinct.mapInArrow(sparse, schema).collect(), key=lambda r: (r["doc_id"], r["words"]))
+    examples = sorted(rows.mapInArrow(sparse, schema).collect(), key=lambda r: (r["doc_id"], r["words"]))
     return build(idf, terms, examples)
 
 
