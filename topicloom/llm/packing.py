@@ -63,17 +63,17 @@ class Bm25Index:
         idf = np.log1p((count - number + 0.5) / (number + 0.5))
         weight = np.repeat(idf, number) * counts[order] * (K1 + 1) / (counts[order] + norm[rows[order]])
         self.rows, self.weight = rows[order], weight.astype(np.float32)
-        self.place = {int(t): (int(a), int(a + n)) for t, a, n in zip(distinct, first, number)}
+        self.terms, self.first, self.number = distinct, first, number
         self.unused = np.ones(count, bool)
         self.count = count
         self.pairs = pairs
 
     def ranked(self, seed: int) -> np.ndarray:
         """Unused documents from the nearest to the seed to the farthest; ties by position."""
-        spans = [self.place[t] for t in self.pairs[seed][0].tolist()]
-        rows = np.concatenate([self.rows[a:b] for a, b in spans]) if spans else np.zeros(0, np.int64)
-        weight = np.concatenate([self.weight[a:b] for a, b in spans]) if spans else np.zeros(0, np.float32)
-        scores = np.bincount(rows, weights=weight, minlength=self.count)
+        at = np.searchsorted(self.terms, self.pairs[seed][0])
+        wide = self.number[at]
+        posts = np.repeat(self.first[at] - np.concatenate([[0], np.cumsum(wide)[:-1]]), wide) + np.arange(wide.sum())
+        scores = np.bincount(self.rows[posts], weights=self.weight[posts], minlength=self.count)
         left = np.flatnonzero(self.unused)
         return left[np.argsort(-scores[left], kind="stable")]
 
@@ -135,10 +135,10 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID,
         encoder = load_encoder(ranks, marks)
         wide = encoder.max_token_value > 65535
         for batch in text_chunks(batches):
-            ids = [encoder.encode(t, allowed_special="all") for t in batch.column("text").to_pylist()]
-            flat = [np.array([*x, end_id], np.uint32 if wide else np.uint16) for x in ids]
+            ids = [encoder.encode_to_numpy(t, allowed_special="all") for t in batch.column("text").to_pylist()]
             # Multiplying by an odd number deals the ids anew; the smallest outcome is the signature.
-            mark = [int(np.min((x[:-1].astype(np.uint32) * np.uint32(2654435761)))) if len(x) > 1 else 0 for x in flat]
+            mark = [int(np.min(x * np.uint32(2654435761))) if len(x) else 0 for x in ids]
+            flat = [np.append(x, np.uint32(end_id)).astype(np.uint32 if wide else np.uint16) for x in ids]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("hash"), pa.array(mark, pa.int64()), pa.array([x.tobytes() for x in flat], pa.binary())], names=["doc_id", "hash", "mark", "ids"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
