@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Rows that one window slice should hold at most, on average.
-SLICE_ROWS = 1 << 16
+SLICE_ROWS = 1 << 14
 # Bytes of text that a task works on at once.
 CHUNK_BYTES = 2 << 20
 
