@@ -87,6 +87,23 @@ def test_neighbours_match_brute_force(spark, block_rows):
     assert got == {(i, j + 1): int(want[i, j]) for i in range(len(x)) for j in range(5)}
 
 
+@pytest.mark.parametrize("block_rows", [64, 17])
+def test_neighbour_rows_do_not_grow_with_blocks(spark, block_rows):
+    x = blobs()
+    found = nearest_neighbors(table(spark, x), 6, block_rows)
+    assert found.count() == 5 * len(x)
+    some = nearest_neighbors(table(spark, x), 6, block_rows, probes=8)
+    exact, near = ({(r["src"], r["dst"]) for r in rows.collect()} for rows in (found, some))
+    assert len(exact & near) / len(exact) >= 0.9 and some.count() <= 5 * len(x)
+
+
+def test_neighbours_with_text_ids(spark):
+    x = blobs(per=6)
+    named = table(spark, x).withColumn("post_id", F.format_string("p%03d", "post_id"))
+    plain = {(f"p{r['src']:03d}", r["rank"]): f"p{r['dst']:03d}" for r in nearest_neighbors(table(spark, x), 4, 10).collect()}
+    assert {(r["src"], r["rank"]): r["dst"] for r in nearest_neighbors(named, 4, 10).collect()} == plain
+
+
 def test_cells_rule_out_pairs(spark):
     x = blobs(spread=0.02)
     cells = Cells(table(spark, x).select(F.lit(0).alias("grp"), F.col("post_id").alias("id"), "embedding"), 30)

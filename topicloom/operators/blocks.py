@@ -9,11 +9,12 @@ kernel returns a small summary instead of the pairs.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -127,7 +128,7 @@ class Cells:
         a = cells.select("grp", *[F.col(c).alias(f"{c}_a") for c in ("cell", "parts", "radius", "bound")])
         b = cells.select("grp", *[F.col(c).alias(f"{c}_b") for c in ("cell", "parts", "radius", "bound")])
         order = F.col("cell_a") == F.col("cell_b") if own_only else F.col("cell_a") <= F.col("cell_b")
-        pairs = a.join(b, "grp").where(order)
+        pairs = a.join(b, "grp").where(order).withColumn("reach", F.lit(0.0))
         if len(self.pivots) > 1 and not own_only:
             between = np.arccos(np.clip(self.pivots @ self.pivots.T, -1.0, 1.0))
 
@@ -135,25 +136,23 @@ class Cells:
             def pivot_angle(x: pa.Array, y: pa.Array) -> pa.Array:
                 return pa.array(between[x.to_numpy(zero_copy_only=False), y.to_numpy(zero_copy_only=False)], pa.float64())
 
-            gap = pivot_angle(F.col("cell_a"), F.col("cell_b")) - F.col("radius_a") - F.col("radius_b")
+            pairs = pairs.withColumn("reach", -pivot_angle(F.col("cell_a"), F.col("cell_b")))
+            gap = -F.col("reach") - F.col("radius_a") - F.col("radius_b")
             best_sim = F.cos(F.greatest(gap - ANGLE_SLACK, F.lit(0.0)))
             own = F.col("cell_a") == F.col("cell_b")
             pairs = pairs.where(own | (best_sim >= F.least("bound_a", "bound_b")))
-        pairs = pairs.select("grp", "cell_a", "parts_a", "cell_b", "parts_b")
+        pairs = pairs.select("grp", "cell_a", "parts_a", "cell_b", "parts_b", "reach")
         return pairs if len(self.pivots) == 1 else materialize(pairs, "cell-pairs")
 
-    def self_join(self, kernel: Kernel, schema: T.StructType, pairs: DataFrame, points: DataFrame | None = None, diagonal: bool = False):
+    def self_join(self, kernel: Kernel, schema: T.StructType, pairs: DataFrame, points: DataFrame | None = None):
         """Run ``kernel`` once per unordered pair of blocks in ``pairs``; ``same`` tells a block meeting itself."""
         rows = self.points if points is None else points
+        pairs = pairs.drop("reach")
         keys = ["grp", "cell_a", "part_a", "cell_b", "part_b"]
         own = F.col("cell_a") == F.col("cell_b")
         partner = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-        if diagonal:
-            from_a = F.array("part_a")
-            from_b = F.array("part_b")
-        else:
-            from_a = F.when(own, F.sequence(F.col("part_a"), F.col("parts_b") - 1)).otherwise(partner("parts_b"))
-            from_b = F.when(own, F.sequence(F.lit(0), F.col("part_b"))).otherwise(partner("parts_a"))
+        from_a = F.when(own, F.sequence(F.col("part_a"), F.col("parts_b") - 1)).otherwise(partner("parts_b"))
+        from_b = F.when(own, F.sequence(F.lit(0), F.col("part_b"))).otherwise(partner("parts_a"))
         a = (
             rows.withColumnsRenamed({"cell": "cell_a", "part": "part_a"})
             .join(pairs, ["grp", "cell_a"])
@@ -167,6 +166,61 @@ class Cells:
         return _meet(a.drop("parts_a", "parts_b"), b.drop("parts_a", "parts_b"), keys, kernel, schema)
 
 
+    def streamed(self, reducer: Callable[[], Reducer], schema: T.StructType, pairs: DataFrame, diagonal: bool = False, probes: int | None = None) -> DataFrame:
+        """One reducer per block: it takes in the partner blocks one after the other and gives its rows at the end.
+
+        What comes out is as large as the reducers make it, however many partners a block has; a task holds one block
+        and one partner at a time. ``diagonal`` keeps each block to itself. ``probes`` keeps the partner cells of a cell
+        to that many, those with the nearest pivots first (its own among them); without it none is left out.
+        """
+        listed = F.sort_array(F.collect_list(F.struct("id", "vec"))).alias("rows")
+        blocks = materialize(self.points.groupBy("grp", "cell", "part").agg(listed), "blocks")
+        turned = pairs.where("cell_a <> cell_b").select("grp", F.col("cell_b").alias("cell_a"), F.col("parts_b").alias("parts_a"), F.col("cell_a").alias("cell_b"), F.col("parts_a").alias("parts_b"), "reach")
+        both = pairs.select("grp", "cell_a", "parts_a", "cell_b", "parts_b", "reach").unionByName(turned)
+        if probes is not None:
+            nearest = Window.partitionBy("grp", "cell_a").orderBy((F.col("cell_a") != F.col("cell_b")).cast("int"), F.desc("reach"), "cell_b")
+            both = both.withColumn("__rank", F.row_number().over(nearest)).where(F.col("__rank") <= probes).drop("__rank")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        met = both.withColumn("part_a", every("parts_a")).withColumn("part_b", F.col("part_a") if diagonal else every("parts_b"))
+        if diagonal:
+            met = met.where("cell_a = cell_b")
+        partners = met.select("grp", "cell_a", "part_a", "cell_b", "part_b").join(blocks.withColumnsRenamed({"cell": "cell_b", "part": "part_b"}), ["grp", "cell_b", "part_b"])
+        own = (F.col("cell_a") == F.col("cell_b")) & (F.col("part_a") == F.col("part_b"))
+        partners = partners.select("grp", "cell_a", "part_a", F.when(own, 1).otherwise(2).alias("turn"), "cell_b", "part_b", "rows")
+        first = blocks.select("grp", F.col("cell").alias("cell_a"), F.col("part").alias("part_a"), F.lit(0).alias("turn"), F.col("cell").alias("cell_b"), F.col("part").alias("part_b"), "rows")
+        keys = ["grp", "cell_a", "part_a"]
+        lined = first.unionByName(partners).repartition(*keys).sortWithinPartitions(*keys, "turn", "cell_b", "part_b")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now = None
+            for batch in batches:
+                marks = zip(*(batch.column(c).to_pylist() for c in ("grp", "turn")))
+                for i, (grp, turn) in enumerate(marks):
+                    rows = batch.column("rows").slice(i, 1).flatten()
+                    ids, matrix = rows.field("id"), to_matrix(rows.field("vec"))
+                    if turn == 0:
+                        if now is not None:
+                            yield from now.finish()
+                        now = reducer()
+                        now.begin(grp, ids, matrix)
+                    else:
+                        now.meet(ids, matrix, turn == 1)
+            if now is not None:
+                yield from now.finish()
+
+        return lined.mapInArrow(run, schema)
+
+
+class Reducer(Protocol):
+    """What a block does with its partners: ``begin`` with its own group, ids and vectors, ``meet`` each, ``finish``."""
+
+    def begin(self, grp: object, ids: pa.Array, matrix: np.ndarray) -> None: ...
+
+    def meet(self, ids: pa.Array, matrix: np.ndarray, same: bool) -> None: ...
+
+    def finish(self) -> Iterator[pa.RecordBatch]: ...
+
+
 def column_of(table: pa.Table, name: str) -> pa.Array:
     """A column as one Arrow array."""
     column = table.column(name)

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from topicloom.functions.vectors import to_matrix
 from topicloom.operators.blocks import Cells, column_of, pick
@@ -32,21 +33,28 @@ class DensitySetting:
     min_cluster_size: int
 
 
-def _count_kernel(limits: Sequence[float]):
-    def counted(table: pa.Table, counts: list[np.ndarray]) -> pa.Table:
-        return pa.table(
-            {"grp": table.column("grp"), "id": table.column("id"), **{f"c{i}": pa.array(c, pa.int64()) for i, c in enumerate(counts)}}
-        )
+class CountsSoFar:
+    """How many other points reach each similarity limit, per point of a block."""
 
-    def kernel(a: pa.Table, b: pa.Table, same: bool) -> pa.Table:
-        sims = to_matrix(a.column("vec")) @ to_matrix(b.column("vec")).T
+    def __init__(self, limits: Sequence[float], grp: pa.DataType):
+        self.limits, self.grp_type = limits, grp
+
+    def begin(self, grp: object, ids: pa.Array, matrix: np.ndarray) -> None:
+        self.grp, self.ids, self.matrix = grp, ids, matrix
+        self.counts = np.zeros((len(self.limits), len(ids)), np.int64)
+
+    def meet(self, ids: pa.Array, matrix: np.ndarray, same: bool) -> None:
+        sims = self.matrix @ matrix.T
         if same:
             np.fill_diagonal(sims, -np.inf)
-        near = [sims >= limit for limit in limits]
-        out = counted(a, [n.sum(axis=1) for n in near])
-        return out if same else pa.concat_tables([out, counted(b, [n.sum(axis=0) for n in near])])
+        for i, limit in enumerate(self.limits):
+            self.counts[i] += (sims >= limit).sum(axis=1)
 
-    return kernel
+    def finish(self):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([self.grp] * len(self.ids), self.grp_type), self.ids, *(pa.array(c) for c in self.counts)],
+            names=["grp", "id", *(f"c{i}" for i in range(len(self.limits)))],
+        )
 
 
 def _lowest_linked(near: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -126,8 +134,9 @@ def density_runs(posts: DataFrame, settings: Sequence[DensitySetting], block_row
     pairs = cells.cell_pairs(min_sim=limits[0])
 
     counts_schema = T.StructType([grp, node] + [T.StructField(f"c{i}", T.LongType()) for i in range(len(limits))])
-    counts = cells.self_join(_count_kernel(limits), counts_schema, pairs)
-    degree = counts.groupBy("grp", "id").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(limits))])
+    # One row per post, whatever the number of blocks.
+    grp_type = to_arrow_type(grp.dataType)
+    degree = cells.streamed(lambda: CountsSoFar(limits, grp_type), counts_schema, pairs)
     flags = F.array(*[(F.col(f"c{limits.index(s.min_sim)}") >= s.min_samples).cast("float") for s in settings])
     flagged = materialize(cells.points.join(degree.select("grp", "id", flags.alias("core")), ["grp", "id"]), "cores")
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from topicloom.functions.vectors import to_matrix
 from topicloom.operators.blocks import Cells, column_of, pick
@@ -26,61 +27,70 @@ def _edge_schema(cells: Cells) -> T.StructType:
     )
 
 
-def _neighbour_kernel(count: int, step: int = 1024):
-    def one_way(a: pa.Table, b: pa.Table, same: bool) -> pa.Table:
-        left, right = to_matrix(a.column("vec")), to_matrix(b.column("vec"))
-        src, dst, sim = [], [], []
-        for start in range(0, len(left), step):
-            sims = left[start : start + step] @ right.T
-            if same:
-                rows = np.arange(len(sims))
-                sims[rows, rows + start] = -np.inf
-            where, scores = best_columns(sims, count)
-            real = np.isfinite(scores)
-            src.append(np.nonzero(real)[0] + start)
-            dst.append(where[real])
-            sim.append(scores[real])
-        src, dst = np.concatenate(src), np.concatenate(dst)
-        return pa.table(
-            {
-                "grp": pick(column_of(a, "grp"), src),
-                "src": pick(column_of(a, "id"), src),
-                "dst": pick(column_of(b, "id"), dst),
-                "sim": np.concatenate(sim),
-            }
-        )
+def _sortable(ids: pa.Array) -> np.ndarray:
+    values = ids.to_numpy(zero_copy_only=False)
+    return np.asarray(values.tolist(), dtype=str) if values.dtype == object else values
 
-    def kernel(a: pa.Table, b: pa.Table, same: bool) -> pa.Table:
-        found = one_way(a, b, same)
-        return found if same else pa.concat_tables([found, one_way(b, a, False)])
 
-    return kernel
+class NearestSoFar:
+    """The ``count`` most similar points of other blocks for each point of a block; smaller ids win ties."""
+
+    def __init__(self, count: int, grp: pa.DataType, step: int = 1024):
+        self.count, self.grp_type, self.step = count, grp, step
+
+    def begin(self, grp: object, ids: pa.Array, matrix: np.ndarray) -> None:
+        self.grp, self.ids, self.matrix = grp, ids, matrix
+        self.near = np.zeros((len(ids), 0), _sortable(ids).dtype)
+        self.sims = np.zeros((len(ids), 0))
+
+    def meet(self, ids: pa.Array, matrix: np.ndarray, same: bool) -> None:
+        names, near, sims = _sortable(ids), [], []
+        for start in range(0, len(self.matrix), self.step):
+            here = self.matrix[start : start + self.step] @ matrix.T
+            if same:
+                rows = np.arange(len(here))
+                here[rows, rows + start] = -np.inf
+            where, scores = best_columns(here, self.count)
+            near.append(names[where])
+            sims.append(scores)
+        near, sims = np.hstack([self.near, np.concatenate(near)]), np.hstack([self.sims, np.concatenate(sims)])
+        order = np.lexsort((near, -sims), axis=1)[:, : self.count]
+        self.near, self.sims = np.take_along_axis(near, order, axis=1), np.take_along_axis(sims, order, axis=1)
+
+    def finish(self):
+        real = np.isfinite(self.sims)
+        rows, place = np.nonzero(real)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([self.grp] * len(rows), self.grp_type), pick(self.ids, rows), pa.array(self.near[real].tolist(), self.ids.type), pa.array(self.sims[real]), pa.array((place + 1).astype(np.int32))],
+            names=["grp", "src", "dst", "sim", "rank"],
+        )
 
 
-def nearest_neighbors(posts: DataFrame, k: int, block_rows: int | None = None) -> DataFrame:
+def nearest_neighbors(posts: DataFrame, k: int, block_rows: int | None = None, probes: int | None = None) -> DataFrame:
     """``src, dst, sim, rank``: the ``k - 1`` most similar other posts of each post (a post counts as one of its k).
 
-    Exact. A first pass inside the diagonal blocks gives each cell a similarity that partners must reach; the
-    second pass builds only the pairs of cells that can reach it.
+    Exact without ``probes``: a first pass inside the blocks gives each cell a similarity that partners must reach; the
+    second pass meets only the cells that can reach it, and every post gives its neighbours once. With ``probes`` a
+    cell meets that many cells at most, the most promising first, and the result is approximate.
     """
-    return grouped_neighbors(posts.withColumn("grp", F.lit(0)), k, block_rows).drop("grp")
+    return grouped_neighbors(posts.withColumn("grp", F.lit(0)), k, block_rows, probes).drop("grp")
 
 
-def grouped_neighbors(posts: DataFrame, k: int, block_rows: int | None = None) -> DataFrame:
+def grouped_neighbors(posts: DataFrame, k: int, block_rows: int | None = None, probes: int | None = None) -> DataFrame:
     """Nearest neighbours among the posts of the same ``grp``."""
     points = posts.select("grp", F.col("post_id").alias("id"), "embedding")
     cells = Cells(points, block_rows) if block_rows else Cells(points)
-    schema, kernel = _edge_schema(cells), _neighbour_kernel(k - 1)
+    schema = T.StructType([*_edge_schema(cells).fields, T.StructField("rank", T.IntegerType())])
+    grp = to_arrow_type(schema["grp"].dataType)
+    reducer = lambda: NearestSoFar(k - 1, grp)
     bounds = None
     if len(cells.pivots) > 1:
-        inside = cells.self_join(kernel, schema, cells.cell_pairs(own_only=True), diagonal=True)
+        inside = cells.streamed(reducer, schema, cells.cell_pairs(own_only=True), diagonal=True)
         reach = inside.groupBy("grp", F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("low"))
         reach = cells.points.select("grp", "id", "cell").join(reach, ["grp", "id"], "left")
         full = F.when(F.col("n") >= k - 1, F.col("low")).otherwise(F.lit(-1.0))
         bounds = materialize(reach.groupBy("grp", "cell").agg(F.min(full).alias("bound")), "bounds")
-    found = cells.self_join(kernel, schema, cells.cell_pairs(bounds=bounds))
-    best = Window.partitionBy("grp", "src").orderBy(F.desc("sim"), F.asc("dst"))
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k - 1)
+    return cells.streamed(reducer, schema, cells.cell_pairs(bounds=bounds), probes=probes)
 
 
 def similar_pairs(points: DataFrame, min_sim: float, limit: int | None = None) -> DataFrame:
