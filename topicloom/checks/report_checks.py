@@ -251,6 +251,21 @@ def _(t: Tables):
     return embedding_costs(text_table(t.text_posts()), sample_rows=1_000_000_000, local_rows_per_second=145.0)
 
 
+@check(
+    "embedding_costs_sampled",
+    """SELECT o AS option, count(*) AS rows_total, CAST(400 AS BIGINT) AS sample_rows, true AS near_enough, true AS scaled
+       FROM documents, (SELECT unnest(['local', 'openai']) AS o) GROUP BY o""",
+)
+def _(t: Tables):
+    # A real sample: its tokens scaled up come near those of all texts, and cost and time follow from the estimate.
+    texts = text_table(t.text_posts())
+    costs = embedding_costs(texts, sample_rows=400, local_rows_per_second=145.0)
+    whole = estimate_tokens(texts).select(F.col("tokens").alias("true_tokens"))
+    near = F.abs(F.col("est_total_tokens") - F.col("true_tokens")) < 0.25 * F.col("true_tokens")
+    cost = F.when(F.col("option") == "local", F.lit(0.0)).otherwise(F.round(F.col("est_total_tokens") / 1e6 * 0.02, 2))
+    return costs.join(F.broadcast(whole)).select("option", "rows_total", "sample_rows", near.alias("near_enough"), (F.abs(F.col("est_cost_usd") - cost) < 0.011).alias("scaled"))
+
+
 @check("sampled_posts", "SELECT count(*) AS n, count(*) AS known FROM (SELECT doc_id FROM documents LIMIT 100)")
 def _(t: Tables):
     sample = sample_exact(t.text_posts().select("post_id"), 100, 7)

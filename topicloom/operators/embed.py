@@ -16,6 +16,7 @@ from topicloom.functions.text import build_text
 from topicloom.functions.vectors import to_lists
 from topicloom.operators.labels import WORD
 from topicloom.operators.ranking import sample_exact
+from topicloom.session import materialize
 
 # A model factory runs once per task and returns a function from texts to a matrix.
 ModelFactory = Callable[[], Callable[[list[str]], np.ndarray]]
@@ -30,7 +31,7 @@ CHARS_PER_TOKEN = 4.0
 LOCAL_MODEL = "sentence-transformers/all-MiniLM-L6-v2"
 HOSTED_MODEL = "text-embedding-3-small"
 LOCAL_NOTE = "estimated from sample run"
-LOCAL_MISSING_NOTE = "set --local-rows-per-sec to estimate time"
+LOCAL_MISSING_NOTE = "set local_rows_per_second to estimate time"
 
 
 def text_table(posts: DataFrame, id_column: str = "post_id", title: str = "title", body: str = "body") -> DataFrame:
@@ -41,12 +42,14 @@ def text_table(posts: DataFrame, id_column: str = "post_id", title: str = "title
 def embed_hashed(texts: DataFrame, dims: int = 256, inverse_frequency: bool = True) -> DataFrame:
     """``post_id, text, embedding`` of unit length from hashed words, without any model file.
 
-    With ``inverse_frequency`` rare words count more, which takes one aggregate of ``dims`` numbers over the texts.
+    With ``inverse_frequency`` rare words count more, which takes one aggregate of ``dims`` numbers over the texts; term
+    counts are written once, so that texts are cut into words a single time.
     """
     words = F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))
-    counted = HashingTF(numFeatures=dims, inputCol="words", outputCol="tf").transform(texts.withColumn("words", words))
+    counted = HashingTF(numFeatures=dims, inputCol="words", outputCol="tf").transform(texts.withColumn("words", words)).drop("words")
     column = "tf"
     if inverse_frequency:
+        counted = materialize(counted.select("post_id", "text", "tf"), "term-counts")
         counted, column = IDF(inputCol="tf", outputCol="tfidf").fit(counted).transform(counted), "tfidf"
     scaled = Normalizer(inputCol=column, outputCol="unit").transform(counted)
     return scaled.select("post_id", "text", vector_to_array("unit", "float32").alias("embedding"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from topicloom.functions.text import clean_label, reply_value
 from topicloom.operators.ranking import top_per_group
+from topicloom.session import materialize
 
 # A labeller takes prompts and returns replies, one per prompt.
 Labeller = Callable[[list[str]], list[str]]
@@ -64,7 +65,11 @@ def default_label(prefix: str, topic: Column) -> Column:
 
 
 def run_labeller(prompts: DataFrame, labeller: Labeller) -> DataFrame:
-    """The prompt table with a ``reply`` column; ``labeller`` runs in the tasks, once per Arrow batch."""
+    """The prompt table with a ``reply`` column; ``labeller`` runs in the tasks, once per Arrow batch.
+
+    Prompts are dealt over all tasks, and the replies are written at once: a model is asked a single time, whatever is
+    done with the result.
+    """
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield batch.assign(reply=labeller(batch["prompt"].tolist()))
@@ -72,7 +77,8 @@ def run_labeller(prompts: DataFrame, labeller: Labeller) -> DataFrame:
     from pyspark.sql import types as T
 
     schema = T.StructType([*prompts.schema.fields, T.StructField("reply", T.StringType())])
-    return prompts.mapInPandas(call, schema)
+    spread = prompts.repartition(prompts.sparkSession.sparkContext.defaultParallelism)
+    return materialize(spread.mapInPandas(call, schema), "replies")
 
 
 # Fixed value: what counts as a word.
