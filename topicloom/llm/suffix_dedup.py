@@ -99,13 +99,26 @@ def _runs(docs: DataFrame, size: int) -> DataFrame:
         for batch in text_chunks(batches):
             whole, all_offsets = text_bytes(batch.column("text"))
             for flat, offsets, base in _pieces(whole, all_offsets, size):
-                place, low, high, gram = anchored_runs(flat, offsets, size)
+                place, low, high, _ = anchored_runs(flat, offsets, size)
+                # A string has half its bytes after its anchor or before it. Both kinds are runs of their own, named by
+                # these bytes, so a gram that most texts share does not bring together what differs around it.
+                half = size // 2
+                after, before = np.maximum(low, place - half) <= high, low < place - half
+                named = np.concatenate([np.ones(after.sum(), bool), np.zeros(before.sum(), bool)])
+                low, high = (
+                    np.concatenate([np.maximum(low, place - half)[after], low[before]]),
+                    np.concatenate([high[after], np.minimum(high, place - half - 1)[before]]),
+                )
+                place = np.concatenate([place[after], place[before]])
                 row = np.searchsorted(offsets, low, side="right") - 1
                 data = flat.tobytes()
                 items = [hashlib.blake2b(data[a : b + size], digest_size=16).digest() for a, b in zip(low.tolist(), high.tolist())]
+                first, last = np.where(named, place, place - half), np.where(named, place + size - half, place + gram_bytes(size))
+                keys = [hashlib.blake2b(data[a:b], digest_size=8, person=b"after" if f else b"before").digest() for a, b, f in zip(first.tolist(), last.tolist(), named.tolist())]
+                gram = np.frombuffer(b"".join(keys), np.int64)
                 begin = offsets[row] - base
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("text_hash").take(pa.array(row)), batch.column("id").take(pa.array(row)), pa.array(gram.view(np.int64)), pa.array(items, pa.binary()), *(pa.array((x - begin).astype(np.int32)) for x in (place, low, high))],
+                    [batch.column("text_hash").take(pa.array(row)), batch.column("id").take(pa.array(row)), pa.array(gram), pa.array(items, pa.binary()), *(pa.array((x - begin).astype(np.int32)) for x in (place, low, high))],
                     names=["text_hash", "id", "gram", "item", "place", "low", "high"],
                 )
 
@@ -230,7 +243,7 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
     The suffixes that are sorted are the texts from the anchors on: of each ``min_bytes`` bytes the place with the smallest
     gram. Runs of strings with one anchor that are equal as a whole are counted and need no sorting; the rest meets
-    by gram, and only their bytes travel.
+    by half of its bytes, and only these runs' bytes travel.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(F.xxhash64(text).alias("text_hash"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")).alias("id"), text.alias("text"))
