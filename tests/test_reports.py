@@ -71,12 +71,9 @@ def test_top_per_group_with_a_hot_group(spark):
     assert got == sorted(want)
 
 
-def test_sample_is_exact_and_repeatable(spark, monkeypatch):
-    from topicloom.operators import ranking
-
+def test_sample_is_exact_and_repeatable(spark):
     df = spark.range(3000).withColumnRenamed("id", "post_id")
     small = {r[0] for r in sample_exact(df, 500, 7).collect()}
-    monkeypatch.setattr(ranking, "SORTED_SAMPLE", 10)
     assert {r[0] for r in sample_exact(df.repartition(7), 500, 7).collect()} == small and len(small) == 500
     assert sample_exact(df, 5000, 7).count() == 3000
     assert {r[0] for r in sample_exact(df, 500, 8).collect()} != small
