@@ -56,7 +56,7 @@ def _(t: Tables):
        WHERE l_shipdate >= TIMESTAMP '1997-01-01 00:00:00' GROUP BY 1""",
 )
 def _(t: Tables):
-    rows = t.read("lineitem").where(F.col("l_shipdate") >= F.expr("timestamp_ntz'1997-01-01 00:00:00'"))
+    rows = read_tabular(t.spark, f"{t.folder.rstrip('/')}/lineitem.parquet").where(F.col("l_shipdate") >= F.expr("timestamp_ntz'1997-01-01 00:00:00'"))
     return rows.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
 
 
