@@ -102,6 +102,7 @@ def search(
                     )
 
     packs = materialize(blocks.mapInArrow(queries, "pack long, home long, places binary, asked binary, wanted binary, wide int"), "query-packs")
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, best = None, None
         for batch in batches:
