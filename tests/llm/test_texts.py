@@ -213,6 +213,21 @@ def test_classes_equal_brute_force(spark, make_docs, monkeypatch):
     assert near_dup.near_duplicates(make_docs([])).count() == 0
 
 
+@pytest.mark.parametrize("partners", [0, 32])
+def test_pairs_among_texts_with_a_common_passage(spark, make_docs, monkeypatch, partners):
+    monkeypatch.setattr(near_dup, "PARTNERS", partners)
+    rnd = random.Random(12)
+    passage, rows = prose(rnd, 70), []
+    for i in range(1000 if partners else 60):
+        own = [f"the{j}" if j % 5 == 0 else f"own{i}x{j}" for j in range(30)]
+        rows.append((i, " ".join([passage, *own]), "a"))
+        if i % 10 == 0:
+            # No five own words in a row stay, so the two meet where all others do.
+            rows.append((10_000 + i, " ".join([passage, *(f"new{i}x{j}" if j % 3 == 1 else w for j, w in enumerate(own))]), "a"))
+    out = near_dup.near_duplicates(make_docs(rows)).collect()
+    assert {r.doc_id: (r.class_id, r.class_size) for r in out} == {i: (i % 10_000, 2 if i % 10 == 0 else 1) for i, _, _ in rows}
+
+
 # Token counts
 
 
