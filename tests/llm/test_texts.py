@@ -122,6 +122,25 @@ def test_repeats_equal_brute_force(spark, make_docs, size, monkeypatch):
     assert sorted(str(r.text) for r in plain.collect()) == sorted(str(None if t is None else k[-1].decode("utf-8", "ignore")) for (_, t, _), k in zip(rows, want))
 
 
+def test_runs_under_a_hot_key_are_not_held_together(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MOST_KINDS", 8, raising=False)
+    seen, compared = [], suffix_dedup._compared
+
+    def watch(items, size):
+        seen.append(max([r["count"] for r in items.select("gram", "item").distinct().groupBy("gram").count().collect()], default=0))
+        return compared(items, size)
+
+    monkeypatch.setattr(suffix_dedup, "_compared", watch)
+    rnd = random.Random(21)
+    footer = prose(rnd, 40)
+    rows = [(i, prose(rnd, 9) + footer + prose(rnd, 9), "a") for i in range(40)] + [(50, footer, "a"), (50, footer, "a")]
+    out = suffix_dedup.remove_repeats(make_docs(rows), 64).collect()
+    texts = [t.encode() for _, t, _ in rows]
+    want = [(i, int(g.sum()), bytes(np.frombuffer(t, np.uint8)[~g])) for (i, _, _), t, g in zip(rows, texts, covered(texts, 64))]
+    assert sorted((r.doc_id, r.n_removed, bytes(r.kept)) for r in out) == sorted(want)
+    assert max(seen) <= 8
+
+
 def test_very_long_text_is_cut_into_pieces(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PLACE_BITS", 10)
     flat = np.random.RandomState(1).randint(97, 99, 5000).astype(np.uint8)

@@ -22,6 +22,10 @@ GRAM = 32
 PLACE_BITS = 21
 # Strings that are sorted together.
 BATCH_ITEMS = 40_000
+# Different runs under one key that are sorted together; the strings of more are counted by their digests.
+MOST_KINDS = 10_000
+# Parts in which the counted strings meet their counts, since one string may be that of most runs.
+PARTS = 16
 
 
 def gram_bytes(size: int) -> int:
@@ -215,6 +219,30 @@ def _cut_out(requests: DataFrame, packed: DataFrame, size: int) -> DataFrame:
     return joined.mapInArrow(cut, "gram long, item binary, n long, text_hash long, id long, place int, low int, bytes binary")
 
 
+def _counted(requests: DataFrame, packed: DataFrame, size: int) -> DataFrame:
+    """The same as _compared for keys of any number of runs: every string is a row, counted by key and digest."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("packed", "runs", "text_hash", "id"))
+            for blob, runs, text_hash, key in zip(*columns):
+                data = unpack(blob)
+                for r in runs:
+                    strings = [hashlib.blake2b(data[s : s + size], digest_size=16).digest() for s in range(r["low"], r["high"] + 1)]
+                    n = len(strings)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r["gram"]] * n, pa.int64()), pa.array(strings, pa.binary()), pa.array([r["n"] == 1] * n), pa.array([text_hash] * n, pa.int64()), pa.array([key] * n, pa.int64()), pa.array(range(r["low"], r["high"] + 1), pa.int32())],
+                        names=["gram", "string", "once", "text_hash", "id", "from"],
+                    )
+
+    joined = packed.join(requests, ["text_hash", "id"]).select("text_hash", "id", "packed", "runs")
+    strings = materialize(joined.mapInArrow(digest, "gram long, string binary, once boolean, text_hash long, id long, from int"), "suffix-strings")
+    twice = strings.groupBy("gram", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice = twice.select("gram", "string", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))).alias("part"))
+    asked = strings.where("once").withColumn("part", F.pmod(F.xxhash64("text_hash", "id", "from"), F.lit(PARTS)))
+    return asked.join(twice, ["gram", "string", "part"], "left_semi").selectExpr("text_hash", "id", "`from`", "`from` AS to")
+
+
 def repeated_stretches(keyed: DataFrame, size: int) -> DataFrame:
     """text_hash, id, stretches: for every text with repeated strings, where these start (from, to)."""
     runs = materialize(_runs(keyed, size), "suffix-runs")
@@ -222,13 +250,21 @@ def repeated_stretches(keyed: DataFrame, size: int) -> DataFrame:
     shared = materialize(runs.join(grams, "gram", "left_semi"), "suffix-shared")
     sample = F.min(F.struct("text_hash", "id", "place", "low", "high"))
     items = shared.groupBy("gram", "item").agg(F.count(F.lit(1)).alias("n"), sample.alias("one"))
-    others = items.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("gram")
     items = materialize(items, "suffix-items")
-    mixed_items = items.join(others, "gram", "left_semi")
-    asked = mixed_items.groupBy(F.col("one.text_hash").alias("text_hash"), F.col("one.id").alias("id")).agg(
-        F.collect_list(F.struct("gram", "item", "n", "one.place", "one.low", "one.high")).alias("runs")
-    )
-    partly = _compared(_cut_out(asked, pack_texts(keyed, "text"), size), size)
+    others = materialize(items.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "suffix-kinds")
+
+    def asked(some: DataFrame) -> DataFrame:
+        return some.groupBy(F.col("one.text_hash").alias("text_hash"), F.col("one.id").alias("id")).agg(
+            F.collect_list(F.struct("gram", "item", "n", "one.place", "one.low", "one.high")).alias("runs")
+        )
+
+    few = items.join(others.where(F.col("kinds") <= MOST_KINDS).select("gram"), "gram", "left_semi")
+    partly = _compared(_cut_out(asked(few), pack_texts(keyed, "text"), size), size)
+    hot = others.where(F.col("kinds") > MOST_KINDS).select("gram")
+    if not hot.isEmpty():
+        # At most one key for every MOST_KINDS runs.
+        many = items.join(F.broadcast(hot), "gram", "left_semi")
+        partly = partly.union(_counted(asked(many), pack_texts(keyed, "text"), size))
     whole = shared.join(items.where("n > 1").select("gram", "item"), ["gram", "item"], "left_semi").selectExpr("text_hash", "id", "low AS from", "high AS to")
     return partly.union(whole).groupBy("text_hash", "id").agg(F.collect_list(F.struct("from", "to")).alias("stretches"))
 
@@ -243,7 +279,8 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
     The suffixes that are sorted are the texts from the anchors on: of each ``min_bytes`` bytes the place with the smallest
     gram. Runs of strings with one anchor that are equal as a whole are counted and need no sorting; the rest meets
-    by half of its bytes, and only these runs' bytes travel.
+    by half of its bytes, and only these runs' bytes travel. Where more than MOST_KINDS runs meet, the digests of their
+    strings are counted instead, so no key is held by one task.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(F.xxhash64(text).alias("text_hash"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")).alias("id"), text.alias("text"))
