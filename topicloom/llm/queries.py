@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import ann, chat, mixing, near_dup, packing, sharding, suffix_dedup, token_counts, topk, toxicity
+from topicloom.llm import ann, bpe_codec, chat, mixing, near_dup, packing, sharding, suffix_dedup, token_counts, topk, toxicity
 from topicloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,13 @@ _add("op1_threshold_top_k", op1_threshold_top_k, topk.TOPK_SQL)
 _add("op5_collision_neighbours", op5_collision_neighbours)
 _add("op3_mix_sources", op3_mix_sources, mixing.MIX_SQL)
 _add("op6_jump_shards", op6_jump_shards, sharding.SHARD_SQL)
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ids = bpe_codec.encode_texts(read(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
+    ids = ids.withColumns({"n_tokens": F.size("ids").cast("bigint"), "ids_sha256": digest})
+    return bpe_codec.decode_ids(ids).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+_add("op12_byte_bpe", op12_byte_bpe)
