@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import ann, bpe_codec, chat, mixing, near_dup, packing, sharding, suffix_dedup, token_counts, topk, toxicity
+from topicloom.llm import alignment, ann, bpe_codec, chat, mixing, near_dup, packing, sharding, suffix_dedup, token_counts, topk, toxicity
 from topicloom.llm.common import read
+from topicloom.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +92,13 @@ def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _add("op12_byte_bpe", op12_byte_bpe)
+
+
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    grouped = alignment.group_tokens(read(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    kept = materialize(grouped.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return alignment.score_links(kept)
+
+
+_add("op11_token_alignment", op11_token_alignment)
