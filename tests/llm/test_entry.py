@@ -31,7 +31,7 @@ def test_query_agrees_with_sql(spark, name):
 
 def test_all_are_registered():
     found = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} and "pipeline" in found and set(QUERIES) <= set(found)
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} and "pipeline" in found and set(QUERIES) <= set(found)
 
 
 def test_pipeline_stages(spark):

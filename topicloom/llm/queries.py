@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import alignment, ann, bpe_codec, chat, mixing, near_dup, packing, sharding, suffix_dedup, token_counts, topk, toxicity
+from topicloom.llm import alignment, ann, bpe_codec, chat, hard_negatives, mixing, near_dup, packing, sharding, suffix_dedup, token_counts, topk, toxicity
 from topicloom.llm.common import read
 from topicloom.session import materialize
 
@@ -102,3 +102,11 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _add("op11_token_alignment", op11_token_alignment)
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(read(spark, folder, "embeddings").withColumn("label", moved)).drop("positive_rank")
+
+
+_add("op13_hard_negatives", op13_hard_negatives, hard_negatives.MINING_SQL)
