@@ -9,7 +9,7 @@ places where both sides end. All tokens of the distinct units of a chunk of text
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,9 @@ from topicloom.llm.pieces import BLANKS, field, flat_ids, offsets_of, once, span
 from topicloom.session import materialize
 
 # Bytes of text whose pairs are looked up together.
-CHUNK = 4 << 20
+CHUNK = 3 << 20
+# Units that one call of the byte-level tokenizer gets as one text.
+LINE_UNITS = 512
 
 _ADDED = "n_a long, n_b long, n_groups long, n_links long, groups string, chunk long, place int, links binary, chunk_pairs array<long>, chunk_documents array<long>"
 
@@ -42,9 +44,9 @@ def _letter_bytes() -> dict[str, int]:
 
 
 class Side:
-    """A tokenizer with the bytes of its tokens."""
+    """A tokenizer with the bytes of its tokens; ``encode`` gives the ids of all units and how many each has."""
 
-    def __init__(self, tokens: list[bytes], encode):
+    def __init__(self, tokens: list[bytes], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.starts = offsets_of(self.lengths)[:-1]
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
@@ -66,7 +68,24 @@ def byte_level(path: str) -> Side:
     alphabet, tokens = _letter_bytes(), [b""] * model.get_vocab_size()
     for piece, i in model.get_vocab().items():
         tokens[i] = special[i] if i in special else bytes(alphabet[c] for c in piece)
-    return Side(tokens, lambda texts: [e.ids for e in model.encode_batch(texts, add_special_tokens=False)])
+
+    def ids_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return flat_ids(e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False))
+
+    def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # Units that begin with a blank and end without one can stand in one text: its tokens end where they end.
+        alone = np.array([u[0] not in " \t\n" or u[-1].isspace() for u in units], bool)
+        cuts = np.unique(np.concatenate([np.flatnonzero(alone), np.flatnonzero(alone) + 1, np.arange(0, len(units), LINE_UNITS), [len(units)]])).tolist()
+        ids, _ = ids_of(["".join(units[s:e]) for s, e in zip(cuts, cuts[1:])])
+        ends = np.cumsum(side.lengths[ids])
+        wanted = np.cumsum([len(u) if u.isascii() else len(u.encode()) for u in units])
+        at = np.searchsorted(ends, wanted)
+        if len(ends) != (at[-1] + 1 if len(at) else 0) or not np.array_equal(ends[at], wanted):
+            return ids_of(units)
+        return ids, np.diff(at, prepend=-1)
+
+    side = Side(tokens, encode)
+    return side
 
 
 def pieces(path: str) -> tuple[Side, bytes]:
@@ -81,7 +100,7 @@ def pieces(path: str) -> tuple[Side, bytes]:
     spelled = [t.decode("utf-8", "replace") for t in tokens]
     joined = {after for t in spelled for before, after in zip(t, t[1:]) if not before.isspace()}
     cuts = bytes(c for c in BLANKS if chr(c) not in joined)
-    return Side(tokens, lambda texts: model.encode(texts, num_threads=1)), cuts
+    return Side(tokens, lambda units: flat_ids(model.encode(units, num_threads=1))), cuts
 
 
 def components(a_start: np.ndarray, a_end: np.ndarray, b_start: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +131,7 @@ class UnitTable:
         fine = np.ones(len(units), bool)
         sides = []
         for side in (a, b):
-            ids, count = flat_ids(side.encode(units))
+            ids, count = side.encode(units)
             of = np.repeat(np.arange(len(units)), count)
             same = np.bincount(of, side.lengths[ids], len(units)).astype(np.int64) == size
             held = same[of]
@@ -135,16 +154,27 @@ class UnitTable:
         self.n_a, self.n_b = np.bincount(a_of, minlength=n), np.bincount(b_of, minlength=n)
         self.n_groups, self.n_links = np.bincount(group_of, minlength=n), np.bincount(a_of[link_a], minlength=n)
         self.link_start = offsets_of(self.n_links)[:-1]
-        self.shown = self._shown(a_ids.tolist(), np.bincount(a_group).tolist(), b_ids.tolist(), np.bincount(b_group).tolist())
-
-    def _shown(self, a_ids: list, a_wide: list, b_ids: list, b_wide: list) -> list[str]:
-        """The groups of each unit as text."""
-        groups, i, j = [], 0, 0
-        for x, y in zip(a_wide, b_wide):
-            groups.append(f"{','.join(map(str, a_ids[i : i + x]))}|{','.join(map(str, b_ids[j : j + y]))}")
-            i, j = i + x, j + y
-        ends = offsets_of(self.n_groups).tolist()
-        return [";".join(groups[s:e]) for s, e in zip(ends, ends[1:])]
+        self.shown = _shown(a_ids, a_group, b_ids, b_group, offsets_of(np.bincount(a_of, minlength=n) + np.bincount(b_of, minlength=n)))
+
+
+def _shown(a_ids: np.ndarray, a_group: np.ndarray, b_ids: np.ndarray, b_group: np.ndarray, bounds: np.ndarray) -> list[str]:
+    """The groups of each unit as text, each group with a semicolon behind it; a unit has the tokens between two bounds."""
+    if not len(a_ids):
+        return [""] * (len(bounds) - 1)
+    # A number is followed by the sign that tells what comes next: a comma, at the end of side A a bar, of side B a semicolon.
+    ids, group, side = np.concatenate([a_ids, b_ids]), np.concatenate([a_group, b_group]), np.repeat([0, 1], [len(a_ids), len(b_ids)])
+    order = np.lexsort((side, group))
+    ids, key = ids[order], 2 * group[order] + side[order]
+    signs = np.where(np.diff(key, append=-1) != 0, np.where(key % 2, ord(";"), ord("|")), ord(","))
+    digits = [str(i).encode() for i in range(int(ids.max()) + 1)]
+    wide = np.array([len(d) for d in digits], np.int64)
+    table = np.frombuffer(b"".join(d + b"," for d in digits), np.uint8)
+    lengths = wide[ids] + 1
+    line = table[spans(offsets_of(wide + 1)[ids], lengths)]
+    ends = offsets_of(lengths)
+    line[ends[1:] - 1] = signs
+    text, cuts = line.tobytes().decode("ascii"), ends[bounds].tolist()
+    return [text[s:e] for s, e in zip(cuts, cuts[1:])]
 
 
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -201,7 +231,7 @@ def group_tokens(docs: DataFrame, text_col: str = "text", a_path: str | None = N
             for s, e in zip(ends[:-1], ends[1:]):
                 body = code[s:e].tobytes() + times[s:e].tobytes()
                 packed.append(len(body).to_bytes(8, "little") + codec.compress(body, asbytes=True) if e > s else None)
-            shown = [";".join(map(table.shown.__getitem__, codes[s:e].tolist())) for s, e in zip(first[:-1], first[1:])]
+            shown = ["".join(map(table.shown.__getitem__, codes[s:e].tolist()))[:-1] for s, e in zip(first[:-1], first[1:])]
             lists = pa.array([0] + [len(held)] * n, pa.int32())
             only = pa.array([False] + [True] * (n - 1), pa.bool_())
             in_chunk = [pa.ListArray.from_arrays(lists, pa.array(x, pa.int64()), mask=only) for x in (table.pairs[held], np.bincount(code, minlength=len(held)))]
