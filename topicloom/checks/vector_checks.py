@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from topicloom.checks.tables import VECTOR_POSTS, VECTORS, Tables, centroids_sql, check, other_run_sql
 from topicloom.functions.text import join_examples
+from topicloom.functions.vectors import cosine
 from topicloom.operators.agreement import (
     clustering_metrics,
     compare_clusterings,
@@ -20,8 +21,11 @@ from topicloom.operators.centroids import nearest_topic, reassign_noise, topic_c
 from topicloom.operators.communities import communities, modularity, multi_graph, simple_graph
 from topicloom.operators.components import connected_components
 from topicloom.operators.density import DensitySetting, density_cluster_labels
+from topicloom.operators.density_tree import mutual_reachability
+from topicloom.operators.descent import descended_neighbors
 from topicloom.operators.embed import embed_hashed, text_table
 from topicloom.operators.examples import central_examples, central_posts
+from topicloom.operators.forest import spanning_forest
 from topicloom.operators.labels import term_labels, topic_terms
 from topicloom.operators.neighbors import nearest_neighbors, similar_pairs
 from topicloom.operators.ranking import dense_ids, topic_sizes
@@ -352,6 +356,20 @@ def _(t: Tables):
     return nearest_neighbors(t.vectors(), 10, block_rows=256).withColumn("sim", F.round("sim", 4))
 
 
+@check(
+    "descended_neighbors",
+    f"WITH {KNN} SELECT count(*) AS links, true AS most_found, CAST(0 AS BIGINT) AS wrong FROM knn",
+)
+def _(t: Tables):
+    # Nine in ten of the true neighbours, and every similarity given is that of its pair.
+    got = materialize(descended_neighbors(t.vectors(), 10), "descended")
+    true = nearest_neighbors(t.vectors(), 10).select("src", "dst", F.lit(1).alias("hit"))
+    vec = t.vectors().select("post_id", "embedding")
+    pairs = got.join(vec.withColumnsRenamed({"post_id": "src", "embedding": "x"}), "src").join(vec.withColumnsRenamed({"post_id": "dst", "embedding": "y"}), "dst").join(true, ["src", "dst"], "left")
+    off = (F.abs(F.col("sim") - cosine(F.col("x"), F.col("y"))) > 1e-6) | (F.col("src") == F.col("dst"))
+    return pairs.agg(F.count(F.lit(1)).alias("links"), (F.sum("hit") >= 0.9 * F.count(F.lit(1))).alias("most_found"), F.count_if(off).alias("wrong"))
+
+
 @check(
     "neighbor_graphs",
     f"""WITH {KNN}, e AS (SELECT least(src, dst) AS a, greatest(src, dst) AS b, max(sim) AS w, count(*) AS m FROM knn GROUP BY 1, 2)
@@ -435,6 +453,34 @@ def density_sql(name: str, source: str, min_sim: float, min_samples: int, min_si
 {name} AS (SELECT a.grp, a.id AS post_id, sub FROM {name}_all a JOIN {name}_ids i ON a.grp = i.grp AND a.root = i.root)"""
 
 
+# The edges one after the other, from short to long: each that joins two groups of posts is in the forest.
+FOREST = f"""RECURSIVE {KNN}, d AS (SELECT src, dst, rank, round(sqrt(greatest(0.0, 2 - 2 * sim)), 9) AS d FROM knn),
+core AS (SELECT src AS id, max(d) AS core FROM d WHERE rank <= 5 GROUP BY 1),
+pairs AS (SELECT least(src, dst) AS a, greatest(src, dst) AS b, min(greatest(d, x.core, y.core)) AS w FROM d JOIN core x ON x.id = src JOIN core y ON y.id = dst GROUP BY 1, 2),
+place AS (SELECT post_id, row_number() OVER (ORDER BY post_id) AS p FROM vectors),
+lined AS MATERIALIZED (SELECT row_number() OVER (ORDER BY w, a, b) AS i, a, b, w, x.p AS pa, y.p AS pb FROM pairs JOIN place x ON x.post_id = a JOIN place y ON y.post_id = b),
+taken(i, a, b, w, joined, groups) AS (SELECT 0::BIGINT, NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE, false, (SELECT list(p ORDER BY p) FROM place)
+  UNION ALL SELECT l.i, l.a, l.b, l.w, groups[pa] <> groups[pb], CASE WHEN groups[pa] <> groups[pb] THEN list_transform(groups, lambda g: CASE WHEN g = groups[pb] THEN groups[pa] ELSE g END) ELSE groups END
+  FROM taken t JOIN lined l ON l.i = t.i + 1)"""
+
+
+@check("density_forest", f"WITH {FOREST} SELECT a, b, round(w, 6) AS w FROM taken WHERE joined")
+def _(t: Tables):
+    return spanning_forest(mutual_reachability(nearest_neighbors(t.vectors(), 10), 5)).withColumn("w", F.round("w", 6))
+
+
+@check(
+    "density_tree_clusters",
+    "SELECT count(*) AS posts, count(DISTINCT vec_id) AS labelled, true AS large_enough, true AS dense_ids FROM embeddings",
+)
+def _(t: Tables):
+    # The tests hold the tree to brute force; here every post has one label, and topics are numbered by size.
+    found = materialize(density_cluster(t.vectors(), DensitySetting(0, None, 4, 8, 12)), "tree")
+    sizes = topic_sizes(found).agg(F.coalesce(F.min("size"), F.lit(8)).alias("least"), F.count(F.lit(1)).alias("topics"))
+    sums = found.agg(F.count(F.lit(1)).alias("posts"), F.count_distinct("post_id").alias("labelled"), F.max("topic").alias("top"))
+    return sums.join(F.broadcast(sizes)).select("posts", "labelled", (F.col("least") >= 8).alias("large_enough"), (F.col("top") == F.col("topics") - 1).alias("dense_ids"))
+
+
 FLAT = f"{VECTORS}, flat AS (SELECT 0 AS grp, post_id, embedding FROM vectors)"
 ONE = DensitySetting(0, 0.33, 5, 3)
 

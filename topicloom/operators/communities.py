@@ -11,11 +11,13 @@ from topicloom.operators.components import connected_components
 from topicloom.operators.ranking import dense_ids
 from topicloom.session import discard, materialize
 
-# A level ends after PATIENCE rounds in a row that gain less than MIN_GAIN; only half of the nodes move per round, so one
-# weak round proves little. Searches that reach MAX_ROUNDS or MAX_LEVELS first say so in a warning.
+# A level ends after PATIENCE rounds in a row that gain less than MIN_GAIN; only some of the nodes move per round, so one
+# weak round proves little. Searches that reach MAX_ROUNDS or MAX_LEVELS while they still gain say so in a warning.
 MIN_GAIN = 1e-4
 PATIENCE = 3
-MAX_ROUNDS = 30
+# Nor is a round worth much that gains less than this share of what its level has gained; the next level gains more.
+LEVEL_SHARE = 0.01
+MAX_ROUNDS = 60
 MAX_LEVELS = 20
 
 
@@ -52,68 +54,104 @@ def modularity(edges: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def _local_moves(edges: DataFrame, nodes: DataFrame, total: float, min_gain: float, patience: int, max_rounds: int) -> tuple[DataFrame, float]:
-    """Move nodes between communities until modularity settles; the best state seen and its modularity.
+def _roles(state: DataFrame) -> DataFrame:
+    """``name, takes`` for the communities that nodes want to leave or enter: what its best such move asks of each.
 
-    ``edges``: ``src, dst, w`` both ways. ``nodes``: ``id, loop, deg, comm``. Half of the nodes move per round, picked
-    by a hash of node and round, so that neighbours do not swap forever. Edge weights are summed per node and
-    community before anything is compared.
+    The best move of all is always possible, and no community gives and takes nodes in the same round.
     """
-    best_state, best_q, last_q, idle = nodes, None, None, 0
-    nodes = nodes.selectExpr("*", "0 AS turn")
-    before = None
+    wishes = state.where("wants")
+    sides = wishes.selectExpr("comm AS name", "struct(lead, id, false AS takes) AS wish").union(wishes.selectExpr("target AS name", "struct(lead, id, true AS takes) AS wish"))
+    return sides.groupBy("name").agg(F.max("wish").alias("wish")).selectExpr("name", "wish.takes AS takes")
+
+
+def _local_moves(edges: DataFrame, nodes: DataFrame, total: float, min_gain: float, patience: int, max_rounds: int, refine: bool = False, trace: list[float] | None = None) -> tuple[DataFrame, float]:
+    """Move nodes between communities until modularity settles; the state reached (``id, loop, deg, comm``) and its modularity.
+
+    ``edges``: ``src, dst, w`` both ways. ``nodes``: ``id, loop, deg, comm``. In a round a community either gives or
+    takes nodes, whichever its best move asks for, so nodes never swap places and those a node moves to stay where they
+    are. Only nodes next to a move, or that still want to move, are looked at again; once these settle, all are
+    looked at once more. A round after which modularity is lower is taken back and tried with half of its moves.
+
+    With ``refine`` the nodes also have ``held`` (weight to the community that is being refined) and ``whole`` (its
+    total degree): only nodes that are still alone and well connected to that community move, to well-connected groups.
+    """
+    more = ["held", "whole"] if refine else []
+    nodes = materialize(nodes.selectExpr("id", "loop", "deg", "comm", *more, "0D AS inside", "true AS active"), "community-nodes")
+    full, idle, retries = True, 0, 0
+    kept, kept_q, began = None, None, None
     for _ in range(max_rounds):
-        totals = nodes.groupBy("comm").agg(F.expr("sum(deg) AS tot"))
-        placed = nodes.join(totals, "comm").selectExpr("id", "comm AS near", "tot")
-        near = edges.join(placed.withColumnRenamed("id", "dst"), "dst").select("src", "near", "tot", "w")
-        own = placed.selectExpr("id AS src", "near", "tot", "0D AS w")
-        options = near.union(own).groupBy("src", "near").agg(F.expr("sum(w) AS k"), F.expr("first(tot) AS tot"))
-        scored = options.join(nodes.withColumnRenamed("id", "src"), "src").selectExpr(
-            "*", "near = comm AS here", f"round(k - deg * (tot - if(near = comm, deg, 0D)) / {total!r}D, 10) AS gain"
-        )
+        sums = ["sum(deg) AS tot", "count(1) AS n", *(["sum(held - inside) AS out", "first(whole) AS around"] if refine else [])]
+        totals = nodes.groupBy(F.col("comm").alias("near")).agg(*map(F.expr, sums))
+        asked = nodes.where("active").selectExpr("id AS src", "deg", "comm", *more)
+        met = edges.join(asked.select("src"), "src").join(nodes.selectExpr("id AS dst", "comm AS near"), "dst").select("src", "near", "w")
+        options = met.union(asked.selectExpr("src", "comm AS near", "0D AS w")).groupBy("src", "near").agg(F.expr("sum(w) AS k"))
+        gain = f"round(k - deg * (tot - if(near = comm, deg, 0D)) / {total!r}D, 10)"
+        open_to = f"out >= tot * (around - tot) / {total!r}D" if refine else "true"
+        ready = f"held >= deg * (whole - deg) / {total!r}D" if refine else "true"
+        scored = options.join(totals, "near").join(asked, "src").selectExpr("src", "near", "k", "n", "near = comm AS here", f"{gain} AS gain", f"near <> comm AND {open_to} AS fits", f"{ready} AS ready")
         choice = scored.groupBy("src").agg(
             *map(
                 F.expr,
                 (
-                    "min(struct(-gain AS minus, near)) AS best",
+                    "min(if(fits, struct(-gain AS minus, near), null)) AS best",
                     "max(if(here, gain, null)) AS stay",
-                    "max(if(here, k, null)) AS inside",
-                    "max(if(here, tot, null)) AS tot",
-                    "first(loop) AS loop",
-                    "first(deg) AS deg",
-                    "first(comm) AS comm",
-                    "first(turn) AS turn",
+                    "max(if(here, k, null)) AS inside_now",
+                    "max(if(here, n, null)) AS n",
+                    "first(ready) AS ready",
                 ),
             )
         )
-        # The round is a column, not a constant, so that every round runs the same generated code.
-        state = materialize(
-            choice.selectExpr(
-                "src AS id", "loop", "deg", "comm", "turn + 1 AS turn", "inside", "tot", "-best.minus > stay AS wants",
-                "if(-best.minus > stay AND pmod(xxhash64(src, turn), 2) = 0, best.near, comm) AS next",
-            ),
-            "moves",
+        free = "ready AND n = 1" if refine else "ready"
+        wants = f"coalesce(-best.minus > stay AND {free}, false)"
+        seen_state = nodes.join(choice.withColumnRenamed("src", "id"), "id", "left").selectExpr(
+            "id", "loop", "deg", "comm", *more, "if(active, inside_now, inside) AS inside", f"{wants} AS wants", "best.near AS target", "-best.minus - stay AS lead"
         )
-        # Summed over nodes, degree times community total is the sum of squared totals.
-        seen = state.selectExpr("sum(inside + loop) AS within", "sum(deg * tot) AS squares", "count_if(wants) AS wants").first()
-        q = seen["within"] / total - seen["squares"] / (total * total)
-        # Of the rounds only the best and the last are read again.
-        if best_q is None or q > best_q:
-            if before is not None:
-                discard(before)
-            best_q, best_round = q, state
-            best_state = state.select("id", "loop", "deg", "comm")
-        elif before is not None and before is not best_round:
-            discard(before)
-        before = state
-        idle = idle + 1 if last_q is not None and q - last_q < min_gain else 0
-        last_q = q
-        if not seen["wants"] or idle >= patience:
+        state = materialize(seen_state, "community-moves")
+        per = state.groupBy("comm").agg(*map(F.expr, ("sum(inside + loop) AS within", "sum(deg) AS tot", "count_if(wants) AS wants")))
+        seen = per.selectExpr("sum(within) AS within", "sum(tot * tot) AS squares", "sum(wants) AS wants").first()
+        q = (seen["within"] or 0.0) / total - (seen["squares"] or 0.0) / (total * total)
+        discard(nodes)
+        if kept_q is not None and q < kept_q:
+            # Too many moves at once: back to the state before, with fewer of them.
+            discard(state)
+            retries += 1
+            if retries > 8:
+                break
+            nodes = _next_nodes(kept, edges, f"pmod(xxhash64(id, {retries}), {1 << retries}) = 0", more, False)
+            continue
+        if trace is not None:
+            trace.append(q)
+        if kept is not None:
+            discard(kept)
+        began = q if began is None else began
+        idle = idle + 1 if kept_q is not None and q - kept_q < max(min_gain, LEVEL_SHARE * (q - began)) else 0
+        kept, kept_q, retries = state, q, 0
+        if idle >= patience or (not seen["wants"] and full):
             break
-        nodes = state.selectExpr("id", "loop", "deg", "next AS comm", "turn")
+        full = not seen["wants"]
+        nodes = _next_nodes(state, edges, "true", more, full)
+    else:
+        if idle == 0:
+            warnings.warn(f"communities still change after {max_rounds} rounds", stacklevel=2)
+    return kept.selectExpr("id", "loop", "deg", "comm"), kept_q
+
+
+def _next_nodes(state: DataFrame, edges: DataFrame, among: str, more: list[str], full: bool) -> DataFrame:
+    """The nodes after the moves; active are those that moved, their neighbours, and those that could not move yet.
+
+    Without wishes there are no moves, and with ``full`` all nodes are active.
+    """
+    if full:
+        after = state
     else:
-        warnings.warn(f"communities still change after {max_rounds} rounds", stacklevel=2)
-    return best_state, best_q
+        roles = _roles(state)
+        own, there = roles.where("NOT takes").selectExpr("name AS comm", "true AS gives"), roles.where("takes").selectExpr("name AS target", "takes")
+        moved = f"coalesce(wants AND gives AND takes AND {among}, false)"
+        after = state.join(own, "comm", "left").join(there, "target", "left").selectExpr("id", "loop", "deg", f"if({moved}, target, comm) AS comm", *more, "inside", f"{moved} AS moved", "wants")
+    if full:
+        return materialize(after.selectExpr("id", "loop", "deg", "comm", *more, "inside", "true AS active"), "community-nodes")
+    touched = edges.join(after.where("moved").selectExpr("id AS src"), "src").selectExpr("dst AS id").distinct().withColumn("near_move", F.lit(True))
+    return materialize(after.join(touched, "id", "left").selectExpr("id", "loop", "deg", "comm", *more, "inside", "moved OR wants OR near_move IS NOT NULL AS active"), "community-nodes")
 
 
 def _within(edges: DataFrame, members: DataFrame) -> DataFrame:
@@ -126,7 +164,10 @@ def _within(edges: DataFrame, members: DataFrame) -> DataFrame:
 def _refined(edges: DataFrame, state: DataFrame, total: float, limits: tuple[float, int, int]) -> DataFrame:
     """``id, loop, deg, comm, sub``: the nodes of each community grouped anew, starting alone, along its own edges only."""
     inside = materialize(_within(edges, state).select("src", "dst", "w"), "inside")
-    parts, _ = _local_moves(inside, materialize(state.withColumn("comm", F.col("id")), "alone"), total, *limits)
+    held = inside.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("held"))
+    whole = state.groupBy("comm").agg(F.sum("deg").alias("whole"))
+    alone = state.join(held, "id", "left").join(whole, "comm").selectExpr("id", "loop", "deg", "id AS comm", "coalesce(held, 0D) AS held", "whole")
+    parts, _ = _local_moves(inside, alone, total, *limits, refine=True)
     return materialize(state.join(parts.select("id", F.col("comm").alias("sub")), "id"), "refined")
 
 
@@ -138,13 +179,14 @@ def communities(
     patience: int = PATIENCE,
     max_rounds: int = MAX_ROUNDS,
     max_levels: int = MAX_LEVELS,
+    trace: list[float] | None = None,
 ) -> DataFrame:
     """``id, comm`` for every node of ``nodes`` (``id``) on ``a, b, w`` edges.
 
     Local moves, then contraction to one node per community, until modularity stops growing. With ``connected`` the
-    nodes of each community are grouped anew inside it first, and those groups are contracted; they start the next
-    level in their community and may leave it. Communities are cut into their connected parts in the end. Nodes without
-    edges stay alone.
+    nodes of each community are grouped anew inside it first, well-connected ones only, and those groups are
+    contracted; they start the next level in their community and may leave it. In the end single nodes may move once
+    more, and communities are cut into their connected parts. Nodes without edges stay alone. ``trace`` gets the modularity after every round; it never falls.
     """
     limits = (min_gain, patience, max_rounds)
     base = materialize(edges, "graph")
@@ -159,10 +201,10 @@ def communities(
     level = everyone.join(degree, "id", "left").select(
         "id", F.lit(0.0).alias("loop"), F.coalesce("deg", F.lit(0.0)).alias("deg"), F.col("id").alias("comm")
     )
-    level = materialize(level, "level")
+    level = bottom = materialize(level, "level")
     last_q = None
     for _ in range(max_levels):
-        state, q = _local_moves(links, level, total, *limits)
+        state, q = _local_moves(links, level, total, *limits, trace=trace)
         if last_q is not None and q - last_q < min_gain:
             break
         last_q = q
@@ -186,6 +228,9 @@ def communities(
             break
     else:
         warnings.warn(f"communities still grow after {max_levels} levels", stacklevel=2)
+    # Single nodes once more, from where the levels left them: groups that moved as one may hold some that belong elsewhere.
+    settled, _ = _local_moves(whole, bottom.drop("comm").join(answer, "id"), total, *limits, trace=trace)
+    answer = settled.select("id", "comm")
     if not connected:
         return answer
     roots = connected_components(_within(whole, answer).select("part", "src", "dst")).select("id", "root")

@@ -25,12 +25,19 @@ from topicloom.session import materialize
 
 @dataclass(frozen=True)
 class DensitySetting:
-    """One parameter choice; ``run`` names it in the result."""
+    """One parameter choice; ``run`` names it in the result.
+
+    Without ``min_sim`` clusters come from a density tree over the ``neighbors`` nearest posts (itself among them).
+    """
 
     run: int
-    min_sim: float
+    min_sim: float | None
     min_samples: int
     min_cluster_size: int
+    neighbors: int | None = None
+
+    def graph_neighbors(self) -> int:
+        return max(self.min_samples + 1, self.neighbors or 2 * self.min_samples + 1)
 
 
 class CountsSoFar:

@@ -12,6 +12,8 @@ from topicloom.operators.agreement import clustering_metrics, consensus, map_run
 from topicloom.operators.centroids import reassign_noise, topic_centroids, top_n_topics, with_assignments
 from topicloom.operators.communities import communities, multi_graph, number_communities, simple_graph
 from topicloom.operators.density import DensitySetting, density_cluster_labels, density_runs, number_clusters
+from topicloom.operators.density_tree import density_tree_labels, tree_runs
+from topicloom.operators.descent import descended_neighbors
 from topicloom.operators.neighbors import nearest_neighbors
 from topicloom.operators.ranking import dense_ids, largest_topics, next_topic_id
 from topicloom.operators.reduce import COMPONENTS, fit_components, reduce_dimensions
@@ -25,14 +27,22 @@ CONSENSUS_JACCARD = 0.6
 JITTER_FLOOR_SAMPLES = 2
 
 
-def graph_cluster(posts: DataFrame, k: int = GRAPH_NEIGHBORS, method: str = "leiden", top_n: int = TOP_N, weighted: bool | None = None, **limits):
+# How neighbours are found: all of them, or most of them with bounded work per post.
+SEARCHES = {"exact": nearest_neighbors, "descent": descended_neighbors}
+
+
+def graph_cluster(posts: DataFrame, k: int = GRAPH_NEIGHBORS, method: str = "leiden", top_n: int = TOP_N, weighted: bool | None = None, search: str = "exact", **limits):
     """Neighbour graph, communities, top topics. Every post gets a topic; there is no noise.
 
+    ``search="descent"`` finds most neighbours with work per post that does not grow with the table, "exact" all of them.
+
     ``limits`` go to the community search (min_gain, patience, max_rounds, max_levels). ``leiden`` keeps communities connected and counts mutual neighbours twice; ``louvain`` uses similarities as weights.
     """
     if method not in ("leiden", "louvain"):
         raise ValueError(f"unknown method {method!r}")
-    near = materialize(nearest_neighbors(posts, k), "neighbors")
+    if search not in SEARCHES:
+        raise ValueError(f"unknown search {search!r}")
+    near = materialize(SEARCHES[search](posts, k), "neighbors")
     by_similarity = weighted if weighted is not None else method == "louvain"
     edges = simple_graph(near) if by_similarity else multi_graph(near)
     members = communities(posts.select(F.col("post_id").alias("id")), edges, connected=method == "leiden", **limits)
@@ -44,6 +54,16 @@ def _reduced(posts: DataFrame, components: int | None) -> DataFrame:
     return posts if components is None else reduce_dimensions(posts, fit_components(posts, components))
 
 
+def _density_labels(posts: DataFrame, settings: Sequence[DensitySetting], search: str = "exact") -> DataFrame:
+    """``post_id, run, topic`` of every setting: by its similarity limit if it has one, else by a density tree."""
+    limited, trees = [s for s in settings if s.min_sim is not None], [s for s in settings if s.min_sim is None]
+    if not trees:
+        return density_cluster_labels(posts, limited)
+    near = materialize(SEARCHES[search](posts, max(s.graph_neighbors() for s in trees)), "neighbors")
+    found = density_tree_labels(posts, trees, near)
+    return found.unionByName(density_cluster_labels(posts, limited)) if limited else found
+
+
 def density_cluster(
     posts: DataFrame,
     setting: DensitySetting,
@@ -51,12 +71,14 @@ def density_cluster(
     reassign_threshold: float | None = None,
     components: int | None = None,
     recompute_centroids: bool = False,
+    search: str = "exact",
 ) -> DataFrame:
     """Density clusters with noise, optional reassignment of noise, top topics.
 
+    A setting without ``min_sim`` needs no level: clusters come from a density tree over neighbours found by ``search``.
     Top topics are scored against the centroids from before the reassignment unless ``recompute_centroids``.
     """
-    labels = density_cluster_labels(_reduced(posts, components), [setting]).select("post_id", "topic")
+    labels = _density_labels(_reduced(posts, components), [setting], search).select("post_id", "topic")
     rows = posts.select("post_id", "embedding").join(materialize(labels, "labels"), "post_id")
     return finish(rows, top_n, reassign_threshold, recompute_centroids)
 
@@ -83,7 +105,8 @@ def _split_within(rows: DataFrame, min_size: int, setting: DensitySetting) -> Da
     order = Window.orderBy(F.desc("size"), F.asc("topic"))
     large = materialize(large.withColumn("rank", F.row_number().over(order)).select(F.col("topic").alias("grp"), "rank"), "large")
     members = rows.withColumnRenamed("topic", "grp").join(large, "grp")
-    found = number_clusters(density_runs(members.select("grp", "post_id", "embedding"), [setting]))
+    search = density_runs if setting.min_sim is not None else tree_runs
+    found = number_clusters(search(members.select("grp", "post_id", "embedding"), [setting]))
     found = materialize(found.select("grp", "post_id", F.col("topic").alias("sub")), "sub-topics")
     several = found.groupBy("grp").agg(F.max("sub").alias("top")).where(F.col("top") > 0).select("grp")
     return members.select("grp", "post_id", "rank").join(several, "grp").join(found, ["grp", "post_id"], "left")
@@ -103,7 +126,7 @@ def two_stage_cluster(
     ``components`` reduces the vectors for the search for clusters; centroids and scores use the full ones.
     """
     reduced = _reduced(posts, components)
-    labels = materialize(density_cluster_labels(reduced, [first]).select("post_id", "topic"), "labels")
+    labels = materialize(_density_labels(reduced, [first]).select("post_id", "topic"), "labels")
     rows = reduced.select("post_id", "embedding").join(labels, "post_id")
     parts = materialize(_split_within(rows, split_min_size, second), "parts")
     keys = parts.where(F.col("sub").isNotNull()).select("grp", "rank", "sub").distinct()
@@ -132,10 +155,10 @@ def sub_topics(posts: DataFrame, clusters: DataFrame, setting: DensitySetting, m
 
 def tune(posts: DataFrame, settings: Sequence[DensitySetting], reassign_threshold: float | None = None, components: int | None = None) -> DataFrame:
     """One row per setting with its cluster metrics, least noise first. The similarities are computed once for all."""
-    labels = materialize(density_cluster_labels(_reduced(posts, components), settings), "grid")
+    labels = materialize(_density_labels(_reduced(posts, components), settings), "grid")
     if reassign_threshold is not None:
         labels = materialize(_reassign_runs(posts, labels, settings, reassign_threshold), "grid-reassigned")
-    rows = [(s.run, s.min_cluster_size, s.min_samples, float(s.min_sim)) for s in settings]
+    rows = [(s.run, s.min_cluster_size, s.min_samples, s.min_sim if s.min_sim is None else float(s.min_sim)) for s in settings]
     grid = posts.sparkSession.createDataFrame(rows, "run int, min_cluster_size int, min_samples int, min_sim double")
     scored = grid.join(clustering_metrics(labels, ["run"]), "run")
     return scored.drop("run").orderBy("noise_pct", "topics", "min_cluster_size", "min_samples", "min_sim")
@@ -154,7 +177,7 @@ def _reassign_runs(posts: DataFrame, labels: DataFrame, settings: Sequence[Densi
 def jittered(setting: DensitySetting, jitters: Sequence[int], sim_step: float = 0.01) -> list[DensitySetting]:
     """The settings of a stability study: one jitter per run moves both the neighbour count and the similarity."""
     return [
-        replace(setting, run=i, min_samples=max(JITTER_FLOOR_SAMPLES, setting.min_samples + j), min_sim=setting.min_sim + j * sim_step)
+        replace(setting, run=i, min_samples=max(JITTER_FLOOR_SAMPLES, setting.min_samples + j), min_sim=None if setting.min_sim is None else setting.min_sim + j * sim_step)
         for i, j in enumerate(jitters)
     ]
 
@@ -174,7 +197,7 @@ def stability_cluster(
     components: int | None = None,
 ) -> DataFrame:
     """Several density runs, mapped to the first one and voted on per post."""
-    runs = materialize(density_cluster_labels(_reduced(posts, components), settings), "runs")
+    runs = materialize(_density_labels(_reduced(posts, components), settings), "runs")
     return with_assignments(posts, materialize(combine_runs(runs, jaccard, votes), "consensus"), top_n)
 
 
