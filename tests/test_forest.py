@@ -149,3 +149,32 @@ def test_trees_of_groups_are_those_of_each_group(spark):
         mine = got[got.grp == g]
         assert sorted(map(sorted, mine.groupby("root").post_id.apply(list))) == sorted(map(sorted, condensed(reach(x, min(3, len(x) - 1)), 6)))
         assert all(size == (mine.root == root).sum() for root, size in zip(mine.root, mine["size"]))
+
+
+def test_asked_pairs_equal_a_sequential_walk(spark):
+    from topicloom.plans.refinement import asked_pairs
+
+    rng = np.random.RandomState(6)
+    pairs = sorted({tuple(sorted(p)) for p in rng.randint(0, 25, (90, 2)).tolist() if p[0] != p[1]}, key=lambda p: hash((p[0] * 7, p[1])))
+    rows = [(a, b, i + 1, bool(rng.randint(0, 2))) for i, (a, b) in enumerate(pairs)]
+    group, want = {i: i for i in range(25)}, []
+    for a, b, rank, merge in rows:
+        if group[a] != group[b]:
+            want.append(rank)
+            if merge:
+                group = {k: group[a] if g == group[b] else g for k, g in group.items()}
+    got = asked_pairs(spark.createDataFrame(rows, "topic_a int, topic_b int, rank int, merge boolean")).collect()
+    assert sorted(r["rank"] for r in got) == want and len(want) < len(rows)
+    assert asked_pairs(spark.createDataFrame([(1, 2, 1, False)], "topic_a int, topic_b int, rank int, merge boolean")).count() == 1
+
+
+def test_dense_ids_equal_row_numbers(spark):
+    from topicloom.operators.ranking import dense_ids
+
+    rng = np.random.RandomState(1)
+    rows = [(int(a), i) for i, a in enumerate(rng.randint(0, 9, 700))]
+    ids = dense_ids(spark.createDataFrame(rows, "a int, b int").repartition(7), ["a", "b"], "n", 10)
+    assert "SinglePartition" not in ids._jdf.queryExecution().toString()
+    got = {(r.a, r.b): r.n for r in ids.collect()}
+    assert [got[k] for k in sorted(rows)] == list(range(10, 710))
+    assert dense_ids(spark.createDataFrame([], "a int"), ["a"]).count() == 0

@@ -11,10 +11,10 @@ from topicloom.operators.components import connected_components
 from topicloom.operators.ranking import dense_ids
 from topicloom.session import discard, materialize
 
-# A level ends after PATIENCE rounds in a row that gain less than MIN_GAIN; only some of the nodes move per round, so one
-# weak round proves little. Searches that reach MAX_ROUNDS or MAX_LEVELS while they still gain say so in a warning.
+# A level ends after PATIENCE rounds in a row that gain less than MIN_GAIN; the best moves go first, so a weak round
+# tells that the rest is weak. Searches that reach MAX_ROUNDS or MAX_LEVELS while they still gain say so in a warning.
 MIN_GAIN = 1e-4
-PATIENCE = 3
+PATIENCE = 1
 # Nor is a round worth much that gains less than this share of what its level has gained; the next level gains more.
 LEVEL_SHARE = 0.01
 MAX_ROUNDS = 60

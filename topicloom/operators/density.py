@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -20,6 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from topicloom.functions.vectors import to_matrix
 from topicloom.operators.blocks import Cells, column_of, pick
 from topicloom.operators.components import connected_components
+from topicloom.operators.ranking import dense_ids
 from topicloom.session import materialize
 
 
@@ -182,9 +183,10 @@ def _setting_table(spark, settings: Sequence[DensitySetting]) -> DataFrame:
 
 def number_clusters(members: DataFrame) -> DataFrame:
     """Adds ``topic``: 0, 1, … per (run, grp) by size, largest first, then smallest root."""
-    ids = members.groupBy("run", "grp", "root").agg(F.first("size").alias("size"))
-    order = Window.partitionBy("run", "grp").orderBy(F.desc("size"), F.asc("root"))
-    ids = ids.withColumn("topic", (F.row_number().over(order) - 1).cast("int")).drop("size")
+    sizes = members.groupBy("run", "grp", "root").agg(F.first("size").alias("size")).withColumn("minus", -F.col("size"))
+    ids = dense_ids(sizes, ["run", "grp", "minus", "root"], "place").select("run", "grp", "root", "place")
+    first = ids.groupBy("run", "grp").agg(F.min("place").alias("first"))
+    ids = ids.join(first, ["run", "grp"]).select("run", "grp", "root", (F.col("place") - F.col("first")).cast("int").alias("topic"))
     return members.join(ids, ["run", "grp", "root"])
 
 

@@ -21,15 +21,13 @@ from pyspark.sql import types as T
 
 from topicloom.operators.components import connected_components
 from topicloom.operators.density import DensitySetting, number_clusters
-from topicloom.operators.forest import spanning_forest
+from topicloom.operators.forest import climbed, merge_tree, spanning_forest
 from topicloom.operators.neighbors import grouped_neighbors
 from topicloom.session import discard, materialize
 
 MAX_ROUNDS = 500
 # Distances below this count as this much, so that copies do not last for ever.
 DISTANCE_FLOOR = 1e-6
-# Ancestors of a cluster are listed at distances 1, 2, 4, ...
-LIFTS = 32
 
 
 def mutual_reachability(near: DataFrame, min_samples: int) -> DataFrame:
@@ -96,68 +94,9 @@ def _entries(forest: DataFrame, size: int) -> DataFrame:
     return found
 
 
-def _merge_tree(skeleton: DataFrame, leaves: DataFrame) -> DataFrame:
-    """``c, leaf, parent, key, ups``: clusters from the bottom up, by the edges between bottom clusters.
-
-    ``leaf`` names bottom clusters, ``key`` is the edge that joined the two children of the others, ``ups`` the
-    ancestors at distances 1, 2, 4, ... One row per cluster, in one task.
-    """
-    node = leaves.schema["leaf"].dataType
-    rows = leaves.selectExpr("leaf", "null AS other", "null AS key").union(skeleton.selectExpr("leaf_a", "leaf_b", "struct(w, a, b)"))
-    key = rows.schema["key"].dataType
-    schema = T.StructType([T.StructField("c", T.IntegerType()), T.StructField("leaf", node), T.StructField("parent", T.IntegerType()), T.StructField("key", key), T.StructField("ups", T.ArrayType(T.IntegerType()))])
-
-    def plain(name):
-        return tuple(name.values()) if isinstance(name, dict) else name
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        edge = np.asarray(table.column("key").is_valid())
-        names = sorted(table.column("leaf").filter(pa.array(~edge)).to_pylist(), key=plain)
-        joins = table.filter(pa.array(edge)).to_pylist()
-        joins.sort(key=lambda r: (r["key"]["w"], plain(r["key"]["a"]), plain(r["key"]["b"])))
-        number = {plain(n): i for i, n in enumerate(names)}
-        top = list(range(len(names) + len(joins)))
-        parent = np.full(len(top), -1, np.int64)
-
-        def root(x: int) -> int:
-            while top[x] != x:
-                top[x] = x = top[top[x]]
-            return x
-
-        for c, row in enumerate(joins, len(names)):
-            for side in (row["leaf"], row["other"]):
-                child = root(number[plain(side)])
-                parent[child] = c
-                top[child] = c
-        ups, lift = [], parent
-        for _ in range(LIFTS):
-            if (lift < 0).all():
-                break
-            ups.append(lift)
-            lift = np.where(lift >= 0, lift[lift], -1)
-        listed = np.array(ups).T.tolist() if ups else [[] for _ in top]
-        yield pa.RecordBatch.from_pylist(
-            [{"c": c, "leaf": n, "parent": int(parent[c]), "key": None, "ups": listed[c]} for c, n in enumerate(names)]
-            + [{"c": c, "leaf": None, "parent": int(parent[c]), "key": row["key"], "ups": listed[c]} for c, row in enumerate(joins, len(names))],
-            schema=pa.schema([("c", pa.int32()), ("leaf", table.schema.field("leaf").type), ("parent", pa.int32()), ("key", table.schema.field("key").type), ("ups", pa.list_(pa.int32()))]),
-        )
-
-    return materialize(rows.coalesce(1).mapInArrow(build, schema), "merge-tree")
-
-
 def _homes(points: DataFrame, tree: DataFrame) -> DataFrame:
     """``id, c, lam``: the cluster that each point falls out of, going from long edges to short, and the level at which it does."""
-    start = points.join(tree.where("leaf IS NOT NULL").selectExpr("leaf", "c"), "leaf").select("id", "key", "c")
-    lifts = tree.agg(F.coalesce(F.max(F.size("ups")), F.lit(0)).alias("n")).first()["n"]
-    for i in reversed(range(lifts)):
-        # The ancestor 2^i above is the home, or below it, if its children had been joined before the point came.
-        above = tree.selectExpr("c", f"ups[{i}] AS up").where("up >= 0").join(tree.selectExpr("c AS up", "key AS joined"), "up")
-        start = start.join(above, "c", "left").selectExpr("id", "key", "if(joined < key, up, c) AS c")
-    return start.selectExpr("id", "c", f"1 / greatest(key.w, {DISTANCE_FLOOR}D) AS lam")
+    return climbed(points, tree).selectExpr("id", "c", f"1 / greatest(key.w, {DISTANCE_FLOOR}D) AS lam")
 
 
 def _chosen(tree: DataFrame, homes: DataFrame, single: bool, grouped: bool) -> DataFrame:
@@ -224,7 +163,7 @@ def forest_clusters(forest: DataFrame, min_cluster_size: int, single: bool = Fal
     bottoms = materialize(bottoms, "bottoms")
     ends = bottoms.selectExpr("id AS a", "leaf AS leaf_a"), bottoms.selectExpr("id AS b", "leaf AS leaf_b")
     skeleton = marked.where("splits").join(ends[0], "a").join(ends[1], "b")
-    tree = _merge_tree(skeleton, bottoms.select("leaf").distinct())
+    tree = merge_tree(skeleton, bottoms.select("leaf").distinct())
     homes = materialize(_homes(points.join(bottoms, "id"), tree), "homes")
     chosen = _chosen(tree, homes, single, grouped)
     return homes.join(chosen.where("choice >= 0"), "c").selectExpr("id", "choice AS cluster", "lam")

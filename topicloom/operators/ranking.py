@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicloom.session import materialize
+
 SPREAD = 64
 # Samples are cut by this many bits of the hash.
 RANGE_BITS = 16
@@ -79,13 +81,20 @@ def largest_topics(clusters: DataFrame, limit: int | None = None, min_size: int
 
 
 def dense_ids(keys: DataFrame, order: Sequence[str], name: str = "new_id", start: int | Column = 0) -> DataFrame:
-    """Consecutive ids for the rows of a small key table in the given order.
+    """Consecutive ids for the rows of a key table in the given order (its columns tell all rows apart).
 
-    The table holds one row per topic or label, never one per post: it is an aggregate of the posts.
+    Rows are cut into ranges of the order, numbered within each, and moved by the counts of the ranges before: no task
+    sorts the whole table. The driver sees one count per range, at most as many as there are shuffle partitions.
     """
-    position = F.row_number().over(Window.orderBy(*[F.col(c) for c in order])) - 1
+    ranges = materialize(keys.repartitionByRange(*[F.col(c) for c in order]).withColumn("__range", F.spark_partition_id()), "id-ranges")
+    before, moved = 0, []
+    for row in sorted(ranges.groupBy("__range").count().collect()):
+        moved += [F.lit(row["__range"]), F.lit(before)]
+        before += row["count"]
+    offset = F.element_at(F.create_map(*moved), F.col("__range")) if moved else F.lit(0)
+    position = F.row_number().over(Window.partitionBy("__range").orderBy(*[F.col(c) for c in order])) - 1 + offset
     first = F.lit(start) if isinstance(start, int) else start
-    return keys.withColumn(name, (position + first).cast("int"))
+    return ranges.withColumn(name, (position + first).cast("int")).drop("__range")
 
 
 def next_topic_id(clusters: DataFrame, empty: int = 1) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from topicloom.functions.text import MERGE_PROMPT, SPLIT_PROMPT, fill_prompt, join_examples, merge_decision, split_decision
 from topicloom.operators.centroids import topic_centroids, top_n_topics
 from topicloom.operators.components import connected_components
+from topicloom.operators.forest import climbed, merge_tree, spanning_forest
 from topicloom.operators.examples import central_examples
 from topicloom.operators.neighbors import similar_pairs
 from topicloom.operators.ranking import dense_ids, largest_topics, next_topic_id
@@ -79,15 +80,15 @@ def _decide(decider: Decider, prompts: Callable[[], DataFrame]) -> DataFrame:
 def asked_pairs(decided: DataFrame) -> DataFrame:
     """The pairs that are really asked: not yet connected through earlier approved pairs.
 
-    ``decided`` holds at most the merge limit of pairs, each checked against the approved pairs ranked before it.
+    The forest of the approved pairs in the order of their rank tells which topics were one when a pair came up.
     """
-    approved = decided.where("merge").select(F.col("topic_a").alias("src"), F.col("topic_b").alias("dst"), F.col("rank").alias("at"))
-    before = decided.select(F.col("rank").alias("part")).join(approved, F.col("at") < F.col("part")).select("part", "src", "dst")
-    roots = connected_components(before)
-    side = {s: roots.select(F.col("part").alias("rank"), F.col("id").alias(f"topic_{s}"), F.col("root").alias(f"root_{s}")) for s in "ab"}
-    met = decided.join(side["a"], ["rank", "topic_a"], "left").join(side["b"], ["rank", "topic_b"], "left")
-    joined = F.coalesce(F.col("root_a") == F.col("root_b"), F.lit(False))
-    return met.where(~joined).select(*decided.columns)
+    forest = materialize(spanning_forest(decided.where("merge").selectExpr("topic_a AS a", "topic_b AS b", "rank AS w")), "approved-forest")
+    topics = forest.selectExpr("a AS leaf").union(forest.selectExpr("b AS leaf")).distinct()
+    tree = merge_tree(forest.selectExpr("a AS leaf_a", "b AS leaf_b", "w", "a", "b"), topics)
+    key = "struct(rank AS w, topic_a AS a, topic_b AS b) AS key"
+    homes = [climbed(decided.selectExpr("rank AS id", key, f"topic_{s} AS leaf"), tree).selectExpr("id AS rank", f"c AS home_{s}") for s in "ab"]
+    met = decided.join(homes[0], "rank", "left").join(homes[1], "rank", "left")
+    return met.where("NOT coalesce(home_a = home_b, false)").select(*decided.columns)
 
 
 def refine(
