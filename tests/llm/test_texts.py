@@ -388,3 +388,16 @@ def test_block_max_search_is_exact():
 def test_hash_of_text(spark, make_docs):
     got = make_docs([(1, None, "a"), (2, "é", "a")]).select(near_dup.text_key().alias("k")).collect()
     assert [bytes(r.k) for r in got] == [hashlib.md5(b"").digest(), hashlib.md5("é".encode()).digest()]
+
+
+def test_passages_by_words(make_docs):
+    from topicloom.llm import suffix_dedup
+
+    passage = " ".join(f"w{i} of" for i in range(30))
+    string = "x" * 200
+    rows = [(1, f"first start {passage} one end", "s"), (2, f"another begin {passage} two close", "s"), (3, f"aa {string} bb", "s"), (4, f"cc {string} dd", "s"), (5, None, "s")]
+    got = {r.doc_id: r.text for r in suffix_dedup.without_repeats(make_docs(rows), 125, 50).collect()}
+    assert got[3] == rows[2][1] and got[4] == rows[3][1] and got[5] is None
+    assert "w15" not in got[1] + got[2] and got[1].startswith("first start") and got[2].endswith("two close")
+    both = {r.doc_id: r.text for r in suffix_dedup.without_repeats(make_docs(rows), 125).collect()}
+    assert both[3] == "aabb" and both[1] == got[1]

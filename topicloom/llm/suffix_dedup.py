@@ -269,12 +269,13 @@ def repeated_stretches(keyed: DataFrame, size: int) -> DataFrame:
     return partly.union(whole).groupBy("text_hash", "id").agg(F.collect_list(F.struct("from", "to")).alias("stretches"))
 
 
-def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, min_words: int = 0) -> DataFrame:
     """All columns of ``docs`` and n_bytes, n_removed, n_spans, kept (binary) for every row.
 
     Texts are UTF-8 bytes (null: empty). Every byte covered by a string of ``min_bytes`` bytes that starts anywhere
     else too, in the same text or another row, is removed; strings are judged on the input and never cross texts. ``kept``
-    holds the other bytes in a row. Texts shorter than ``min_bytes`` stay whole, equal rows repeat each other, ids may be
+    holds the other bytes in a row. With ``min_words`` a covered stretch stays if it has fewer words (runs between ASCII
+    white space). Texts shorter than ``min_bytes`` stay whole, equal rows repeat each other, ids may be
     null or repeated, an empty table gives an empty table; columns named like the new ones are replaced.
 
     The suffixes that are sorted are the texts from the anchors on: of each ``min_bytes`` bytes the place with the smallest
@@ -312,6 +313,8 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
                 spans[-1][1] = max(spans[-1][1], r["to"] + min_bytes)
             else:
                 spans.append([r["from"], r["to"] + min_bytes])
+        if min_words:
+            spans = [s for s in spans if len(data[s[0] : s[1]].split()) >= min_words]
         edges = [0, *(x for s in spans for x in s), len(data)]
         stay = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
         return len(data), len(data) - len(stay), len(spans), stay
@@ -326,14 +329,14 @@ def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     return joined.mapInArrow(cut, schema)
 
 
-def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, min_words: int = 0) -> DataFrame:
     """``docs`` with the texts that remove_repeats leaves, and n_chars (if there) counted anew.
 
     A character of which only a part was covered goes as a whole. Rows without repeats, null texts included, stay as
     they are; a text of which nothing is left is empty.
     """
     named = {c: f"__{c}" for c in docs.columns if c in ("n_bytes", "n_removed", "n_spans", "kept")}
-    found = remove_repeats(docs.withColumnsRenamed(named), min_bytes)
+    found = remove_repeats(docs.withColumnsRenamed(named), min_bytes, min_words)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
