@@ -8,6 +8,10 @@ from topicloom.llm import mixing, near_dup, packing, suffix_dedup, toxicity
 from topicloom.llm.common import read
 from topicloom.session import materialize
 
+# A passage has this many words; as many bytes are the least that so many very short words take.
+PASSAGE_WORDS = 50
+PASSAGE_BYTES = 125
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled examples do not call toxic."""
@@ -20,8 +24,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that stand elsewhere too."""
-    return suffix_dedup.without_repeats(docs)
+    """Documents without the passages of 50 words or more that stand elsewhere too."""
+    return suffix_dedup.without_repeats(docs, PASSAGE_BYTES, PASSAGE_WORDS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
