@@ -27,12 +27,12 @@ FLOOR = 0.05
 # Words of more than this share of the examples, and this many, are stop words: they have no floor.
 STOP_SHARE = 1 / 32
 STOP_TEXTS = 200
-CAUTION = (1.5, 2.2, 3.0, 4.0)
-LEAST_PREFIX = CAUTION[0]
+CAUTION = (1.5, 2.5, 4.0)
+LEAST_PREFIX = 3.0
 NEIGHBOURS = 15
-BLOCK = 512
+BLOCK = 2048
 # Blocks that are opened first, for a lower bound of the k-th cosine.
-FIRST_BLOCKS = 2
+FIRST_BLOCKS = 1
 THRESHOLD = 0.7
 # Votes weigh similarity to this power; the prior counts as one vote of this weight.
 POWER = 6
@@ -41,8 +41,9 @@ PRIOR_WEIGHT = 0.05
 # text of the same label, and this share of all their pairs.
 MARKS = 4
 COPY_SHARE = 0.6
-# Examples of a half that are scored to choose the caution.
-TRIALS = 500
+# Examples of each half that are scored to choose the caution, and to calibrate.
+TRIALS = 400
+CALIBRATED = 3000
 
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[128:] = np.arange(128, 256)
@@ -130,10 +131,19 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (total - lengths), lengths) + np.arange(total[-1] if len(total) else 0)
 
 
-def vectors_of(column: pa.Array, terms: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For the texts: row, term and count of every term of the model, and the words of each row."""
+def vectors_of(column: pa.Array, terms: dict[bytes, int], seen: dict[bytes, list[int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For the texts: row, term and count of every term of the model, and the words of each row.
+
+    ``seen`` keeps the terms of words between calls.
+    """
     rows, codes, words = words_of(column)
-    listed = [[terms[t] for t in terms_of(w) if t in terms] for w in words]
+    seen = {} if seen is None else seen
+    listed = []
+    for w in words:
+        found = seen.get(w)
+        if found is None:
+            found = seen[w] = [terms[t] for t in terms_of(w) if t in terms]
+        listed.append(found)
     return *_occurrences(rows, codes, listed, len(terms)), np.bincount(rows, minlength=len(column))
 
 
@@ -149,11 +159,11 @@ class ExampleIndex:
         self.count = len(vectors)
         self.blocks = self.count // BLOCK + 1
         sizes = np.array([len(t) for t, _ in vectors], np.int64)
-        term = np.concatenate([t for t, _ in vectors]).astype(np.int64) if vectors else np.zeros(0, np.int64)
+        term = np.concatenate([t for t, _ in vectors]) if vectors else np.zeros(0, np.int32)
         value = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
-        entry = np.repeat(np.arange(self.count), sizes)
-        order = np.lexsort((entry, term))
-        term, self.value, self.entry = term[order], value[order], entry[order].astype(np.int32)
+        entry = np.repeat(np.arange(self.count, dtype=np.int32), sizes)
+        order = np.argsort(term, kind="stable")
+        term, self.value, self.entry = term[order], value[order].astype(np.float32), entry[order]
         # A group is the postings of one term in one block.
         block = self.entry // BLOCK
         new = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else np.zeros(0, np.int64)
@@ -221,7 +231,7 @@ def weigh(idf: np.ndarray, terms: np.ndarray, counts: np.ndarray, words: int) ->
     terms, counts = terms[used], counts[used]
     values = np.append((1.0 + np.log(counts)) * idf[terms], np.log1p(words))
     length = np.sqrt(np.sum(values * values))
-    return np.append(terms, len(idf)), values / length if length else values
+    return np.append(terms, len(idf)).astype(np.int32), values / length if length else values
 
 
 def monotone(raw: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -280,14 +290,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
         return None
     (n0, b0), (n1, b1) = sizes.get(0, (0, 0)), sizes.get(1, (0, 0))
     counts = counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("n0", "bad0", "n1", "bad1")]).where("n0 + n1 > 1")
-    # Beginnings that toxic texts do not have more often are of no use; words all stay.
+    # Beginnings need toxic texts, and words that are as common as stop words need them too; other words all stay.
     n, bad, share = F.col("n0") + F.col("n1"), F.col("bad0") + F.col("bad1"), (b0 + b1) / (n0 + n1)
-    counts = counts.where((F.substring("term", 1, 1) != F.lit(b"^")) | (bad > n * share)).toArrow().sort_by("term")
+    common = 2 * max(STOP_TEXTS, (n0 + n1) * STOP_SHARE)
+    word = F.substring("term", 1, 1) != F.lit(b"^")
+    counts = counts.where((word & (n <= common)) | (bad > n * share + F.when(word, 0.0).otherwise(F.sqrt(n * share * (1 - share))))).toArrow().sort_by("term")
     names = counts.column("term").to_pylist()
     table = {c: counts.column(c).to_numpy() for c in ("n0", "bad0", "n1", "bad1")}
     whole = np.array([not t.startswith(b"^") for t in names], bool)
     n, bad = table["n0"] + table["n1"], table["bad0"] + table["bad1"]
-    keep = whole | (deviation(n, bad, share) > LEAST_PREFIX)
+    keep = (whole & (n <= common)) | (deviation(n, bad, share) > np.where(whole, CAUTION[0], LEAST_PREFIX))
     terms = {t: i for i, t in enumerate(t for t, k in zip(names, keep) if k)}
     stats = np.column_stack([table[c][keep] for c in ("n0", "bad0", "n1", "bad1")])
     whole = whole[keep]
@@ -306,7 +318,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
     ids, toxic, half, words = (found.column(c).to_numpy() for c in ("doc_id", "toxic", "half", "words"))
     lists = [[x.values.to_numpy() for x in found.column(c)] for c in ("terms", "counts")]
     order = np.lexsort((words, ids))
-    examples = [Example(int(ids[i]), int(toxic[i]), int(half[i]), lists[0][i].astype(np.int64), lists[1][i].astype(float), int(words[i])) for i in order]
+    examples = [Example(int(ids[i]), int(toxic[i]), int(half[i]), lists[0][i], lists[1][i], int(words[i])) for i in order]
     model = learn(examples, stats, whole)
     model.terms = terms
     return model
@@ -338,7 +350,7 @@ def learn(examples: list[Example], stats: np.ndarray, whole: np.ndarray) -> Exam
         for h in (0, 1):
             if halves[h] and halves[1 - h]:
                 model = build(values(h, caution), halves[h])
-                for e in halves[1 - h][:most]:
+                for e in halves[1 - h][:: -(-len(halves[1 - h]) // most)]:
                     raw.append(model.vote(*weigh(model.idf, e.terms, e.counts, e.words))[0])
                     labels.append(e.toxic)
         return np.array(raw), np.array(labels, float)
@@ -352,7 +364,7 @@ def learn(examples: list[Example], stats: np.ndarray, whole: np.ndarray) -> Exam
     caution = min(CAUTION, key=lambda c: (loss(c), -c))
     both = stats[:, :2] + stats[:, 2:]
     model = build(term_values(both[:, 0], both[:, 1], len(examples), sum(e.toxic for e in examples), caution, whole), examples)
-    raw, labels = crossed(caution, len(examples))
+    raw, labels = crossed(caution, CALIBRATED)
     if len(raw):
         model.knots = monotone(raw, labels)
     return model
@@ -360,14 +372,14 @@ def learn(examples: list[Example], stats: np.ndarray, whole: np.ndarray) -> Exam
 
 def build(idf: np.ndarray, examples: list[Example]) -> ExampleIndex:
     """The index over the vectors of the examples."""
-    entries: dict[tuple, int] = {}
+    entries: dict[bytes, int] = {}
     vectors, n, bad, ids = [], [], [], []
     # Entries with the same weightiest terms stand together, which keeps the bounds of blocks tight.
     weighed = [weigh(idf, e.terms, e.counts, e.words) for e in examples]
     heavy = [tuple(t[:-1][np.argsort(-w[:-1], kind="stable")[:2]].tolist()) if len(w) and w[:-1].max(initial=0) > w[-1] / 3 else () for t, w in weighed]
     for j in sorted(range(len(examples)), key=lambda j: (heavy[j], examples[j].doc_id)):
         t, w = weighed[j]
-        key = (t.tobytes(), w.round(12).tobytes())
+        key = hashlib.md5(t.tobytes() + w.round(12).tobytes()).digest()
         i = entries.setdefault(key, len(entries))
         if i == len(vectors):
             vectors.append((t, w))
@@ -397,10 +409,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_E
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[bytes, tuple[float, list[int]]] = {}
+        seen: dict[bytes, list[int]] = {}
         for batch in text_chunks(batches):
             scores, evidence = np.zeros(batch.num_rows), [[] for _ in range(batch.num_rows)]
             if model is not None:
-                doc, term, count, words = vectors_of(batch.column("text"), model.terms)
+                doc, term, count, words = vectors_of(batch.column("text"), model.terms, seen)
+                if len(seen) > 200_000:
+                    seen = {}
                 first = np.searchsorted(doc, np.arange(batch.num_rows + 1))
                 for i in range(batch.num_rows):
                     s, e = first[i], first[i + 1]
