@@ -28,7 +28,7 @@ FLOOR = 0.05
 STOP_SHARE = 1 / 32
 STOP_TEXTS = 200
 CAUTION = (1.5, 2.5, 4.0)
-LEAST_PREFIX = 3.0
+LEAST_PREFIX = 2.0
 NEIGHBOURS = 15
 BLOCK = 2048
 # Blocks that are opened first, for a lower bound of the k-th cosine.
