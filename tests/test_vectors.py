@@ -3,16 +3,17 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from topicloom.operators.agreement import clustering_metrics, compare_clusterings, consensus, jaccard, map_to_base
 from topicloom.operators.anchors import assign_anchors
-from topicloom.operators.blocks import Cells
+from topicloom.operators.blocks import PACKS, Cells
 from topicloom.operators.centroids import nearest_topic, reassign_noise, top_n_topics, topic_centroids
 from topicloom.operators.communities import communities, modularity
 from topicloom.operators.components import connected_components
-from topicloom.operators.density import DensitySetting, density_cluster_labels
+from topicloom.operators.density import DensitySetting, density_cluster_labels, threshold_links
 from topicloom.operators.neighbors import nearest_neighbors, similar_pairs
 from topicloom.operators.split import split_topics
 from topicloom.operators.ward import ward_groups, ward_merges
@@ -97,6 +98,40 @@ def test_neighbour_rows_do_not_grow_with_blocks(spark, block_rows):
     assert len(exact & near) / len(exact) >= 0.9 and some.count() <= 5 * len(x)
 
 
+@pytest.mark.parametrize("once, most", [(False, PACKS), (True, PACKS / 2 + 1)])
+def test_copies_of_a_row_do_not_grow_with_blocks(spark, once, most):
+    class Arrivals:
+        """Counts the rows of its own and those it was sent."""
+
+        def begin(self, grp, rows, matrix):
+            self.own, self.sent = len(rows), 0
+
+        def meet(self, rows, matrix, spans, own):
+            self.sent += len(rows)
+
+        def finish(self):
+            yield pa.RecordBatch.from_arrays([pa.array([self.own], pa.int64()), pa.array([self.sent], pa.int64())], names=["own", "sent"])
+
+    x = blobs(per=100)
+    points = table(spark, x).select(F.lit(0).alias("grp"), F.col("post_id").alias("id"), "embedding")
+    cells = Cells(points, 4)
+    assert cells.points.select("cell", "part").distinct().count() > 5 * PACKS
+    got = cells.streamed(Arrivals, "own long, sent long", cells.cell_pairs(), once=once).agg(F.sum("own"), F.sum("sent")).first()
+    assert got[0] == len(x) and got[1] <= most * len(x)
+
+
+@pytest.mark.parametrize("block_rows", [1000, 17])
+def test_threshold_links_connect_what_pairs_connect(spark, block_rows):
+    x = blobs(per=30, spread=0.5)
+    sims = unit(x.astype(float)) @ unit(x.astype(float)).T
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(x)), 2) if sims[i, j] >= 0.8]
+    points = table(spark, x).select(F.lit(0).alias("grp"), F.col("post_id").alias("id"), "embedding")
+    links = [(r["src"], r["dst"]) for r in threshold_links(points, 0.8, block_rows).collect()]
+    assert roots(links, range(len(x))) == roots(pairs, range(len(x)))
+    assert all(sims[a, b] >= 0.8 or roots(pairs, range(len(x)))[a] == roots(pairs, range(len(x)))[b] for a, b in links)
+    assert len(links) <= (PACKS / 2 + 1) * len(x) and (block_rows < 1000 or len(links) < len(x) < len(pairs))
+
+
 def test_neighbours_with_text_ids(spark):
     x = blobs(per=6)
     named = table(spark, x).withColumn("post_id", F.format_string("p%03d", "post_id"))

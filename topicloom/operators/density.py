@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from topicloom.functions.vectors import to_matrix
-from topicloom.operators.blocks import Cells, column_of, pick
+from topicloom.operators.blocks import Cells, pick, steps
 from topicloom.operators.components import connected_components
+from topicloom.operators.neighbors import _sortable
 from topicloom.operators.ranking import dense_ids
 from topicloom.session import materialize
 
@@ -42,21 +43,20 @@ class DensitySetting:
 
 
 class CountsSoFar:
-    """How many other points reach each similarity limit, per point of a block."""
+    """How many other points reach each similarity limit (rising), per point of a pack."""
 
     def __init__(self, limits: Sequence[float], grp: pa.DataType):
         self.limits, self.grp_type = limits, grp
 
-    def begin(self, grp: object, ids: pa.Array, matrix: np.ndarray) -> None:
-        self.grp, self.ids, self.matrix = grp, ids, matrix
-        self.counts = np.zeros((len(self.limits), len(ids)), np.int64)
+    def begin(self, grp: object, rows: pa.StructArray, matrix: np.ndarray) -> None:
+        self.grp, self.ids, self.matrix = grp, rows.field("id"), matrix
+        self.counts = np.zeros((len(self.limits), len(rows)), np.int64)
 
-    def meet(self, ids: pa.Array, matrix: np.ndarray, same: bool) -> None:
-        sims = self.matrix @ matrix.T
-        if same:
-            np.fill_diagonal(sims, -np.inf)
-        for i, limit in enumerate(self.limits):
-            self.counts[i] += (sims >= limit).sum(axis=1)
+    def meet(self, rows: pa.StructArray, matrix: np.ndarray, spans: list[tuple[int, int]], own: int | None) -> None:
+        for start, at, _, sims in _near(self.matrix, matrix, spans, own, self.limits[0]):
+            for i, limit in enumerate(self.limits):
+                some = np.bincount(at if not i else at[sims >= limit])
+                self.counts[i, start : start + len(some)] += some
 
     def finish(self):
         yield pa.RecordBatch.from_arrays(
@@ -65,69 +65,133 @@ class CountsSoFar:
         )
 
 
-def _lowest_linked(near: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Component labels of the two sides of a block, as positions on a common axis (left first)."""
-    rows, cols = near.shape
-    left = np.arange(rows)
-    right = np.arange(cols) if same else np.arange(cols) + rows
-    far = rows + cols
+def _near(mine: np.ndarray, matrix: np.ndarray, spans: list[tuple[int, int]], own: int | None, limit: float):
+    """``start, row - start, column, similarity`` of the pairs that reach ``limit``, stretch by stretch; no row meets itself."""
+    for start, stop in steps(spans, len(matrix)):
+        sims = mine[start:stop] @ matrix.T
+        if own is not None:
+            same = np.arange(max(start, own), min(stop, own + len(matrix)))
+            sims[same - start, same - own] = -np.inf
+        flat = np.flatnonzero(sims >= limit)
+        at, col = np.divmod(flat, len(matrix))
+        yield start, at, col, sims.ravel()[flat]
+
+
+def _joined(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Flat parents (of the smallest place) once the places ``x`` and ``y`` are joined pair by pair."""
     while True:
-        new_left = np.minimum(left, np.where(near, right[None, :], far).min(axis=1, initial=far))
-        if same:
-            new_left = new_left[new_left]
-            if (new_left == left).all():
-                return left, left
-            left = right = new_left
-            continue
-        new_right = np.minimum(right, np.where(near, new_left[:, None], far).min(axis=0, initial=far))
-        if (new_left == left).all() and (new_right == right).all():
-            return left, right
-        left, right = new_left, new_right
-
-
-def _link_kernel(settings: Sequence[DensitySetting]):
-    def kernel(a: pa.Table, b: pa.Table, same: bool) -> pa.Table:
-        sims = to_matrix(a.column("vec")) @ to_matrix(b.column("vec")).T
-        if same:
-            np.fill_diagonal(sims, -np.inf)
-        ids_a, ids_b = column_of(a, "id"), column_of(b, "id")
-        ids = ids_a if same else pa.concat_arrays([ids_a, ids_b])
-        grp = column_of(a, "grp")[0].as_py()
-        core_a, core_b = to_matrix(a.column("core")) > 0, to_matrix(b.column("core")) > 0
-        out = []
-
-        def emit(run: int, src: np.ndarray, dst: np.ndarray, sim: np.ndarray | None) -> None:
-            n = len(src)
-            out.append(
-                pa.table(
-                    {
-                        "run": pa.array(np.full(n, run), pa.int32()),
-                        "grp": pa.array([grp] * n, a.schema.field("grp").type),
-                        "src": pick(ids, src),
-                        "dst": pick(ids, dst),
-                        "sim": pa.array(sim if sim is not None else [None] * n, pa.float64()),
-                    }
-                )
-            )
-
-        shift = 0 if same else len(ids_a)
-        for i, setting in enumerate(settings):
-            near = sims >= setting.min_sim
-            ca, cb = core_a[:, i], core_b[:, i]
-            low_a, low_b = _lowest_linked(near & ca[:, None] & cb[None, :], same)
-            labels = low_a if same else np.concatenate([low_a, low_b])
-            moved = np.nonzero(labels != np.arange(len(labels)))[0]
-            emit(setting.run, moved, labels[moved], None)
-            sides = [(near & ~ca[:, None] & cb[None, :], sims, 0, shift)]
-            if not same:
-                sides.append(((near & ca[:, None] & ~cb[None, :]).T, sims.T, shift, 0))
-            for touch, score, from_shift, to_shift in sides:
-                edge = np.nonzero(touch.any(axis=1))[0]
-                best = np.argmax(np.where(touch[edge], score[edge], -np.inf), axis=1) if len(edge) else edge
-                emit(setting.run, edge + from_shift, best + to_shift, score[edge, best])
-        return pa.concat_tables(out)
-
-    return kernel
+        x, y = parent[x], parent[y]
+        apart = x != y
+        if not apart.any():
+            return parent
+        x, y = x[apart], y[apart]
+        np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+
+
+class LinksSoFar:
+    """Links that connect what the pairs of cores connect, and for posts at the border their best core, per setting.
+
+    Links inside a pack are kept as a forest and given at the end; to a partner goes one link for each of its cores.
+    """
+
+    def __init__(self, settings: Sequence[DensitySetting], grp: pa.DataType, node: pa.DataType):
+        self.settings, self.grp_type, self.node_type = settings, grp, node
+
+    def begin(self, grp: object, rows: pa.StructArray, matrix: np.ndarray) -> None:
+        self.grp, self.ids, self.matrix = grp, rows.field("id"), matrix
+        self.core = to_matrix(rows.field("core")) > 0
+        self.parent = [np.arange(len(rows)) for _ in self.settings]
+        self.lowest = min(s.min_sim for s in self.settings)
+        names = _sortable(self.ids)
+        self.best = [np.full(len(rows), -np.inf) for _ in self.settings]
+        self.at = [np.zeros(len(rows), names.dtype) for _ in self.settings]
+
+    def meet(self, rows: pa.StructArray, matrix: np.ndarray, spans: list[tuple[int, int]], own: int | None):
+        ids, core = rows.field("id"), to_matrix(rows.field("core")) > 0
+        names, own_names = _sortable(ids), None
+        first = np.full((len(self.settings), len(rows)), -1)
+        edge_sim = np.full((len(self.settings), len(rows)), -np.inf)
+        edge_row = np.zeros((len(self.settings), len(rows)), np.int64)
+        for start, at, col, sims in _near(self.matrix, matrix, spans, own, self.lowest):
+            row = at + start
+            for i, setting in enumerate(self.settings):
+                reach = sims >= setting.min_sim
+                a, b = self.core[row, i], core[col, i]
+                r, c = row[reach & a & b], col[reach & a & b]
+                if own is not None:
+                    self.parent[i] = _joined(self.parent[i], r, c + own)
+                elif len(r):
+                    fresh = first[i, c] < 0
+                    first[i, c[fresh][::-1]] = r[fresh][::-1]
+                    self.parent[i] = _joined(self.parent[i], r, first[i, c])
+                touch = reach & ~a & b
+                if touch.any():
+                    self._border(i, row[touch], sims[touch], names[col[touch]])
+                touch = reach & a & ~b
+                if touch.any():
+                    own_names = _sortable(self.ids) if own_names is None else own_names
+                    r, c, s = row[touch], col[touch], sims[touch]
+                    if own is not None:
+                        self._border(i, c + own, s, own_names[r])
+                        continue
+                    r, c, s = np.concatenate([r, edge_row[i, np.unique(c)]]), np.concatenate([c, np.unique(c)]), np.concatenate([s, edge_sim[i, np.unique(c)]])
+                    order = np.lexsort((own_names[r], -s, c))
+                    order = order[np.concatenate([[True], np.diff(c[order]) != 0])]
+                    edge_row[i, c[order]], edge_sim[i, c[order]] = r[order], s[order]
+        for i, setting in enumerate(self.settings):
+            linked = np.flatnonzero(first[i] >= 0)
+            if len(linked):
+                yield self._batch(setting.run, pick(ids, linked), pick(self.ids, first[i, linked]), None)
+            edge = np.flatnonzero(np.isfinite(edge_sim[i]))
+            if len(edge):
+                yield self._batch(setting.run, pick(ids, edge), pick(self.ids, edge_row[i, edge]), edge_sim[i, edge])
+
+    def _border(self, i: int, row: np.ndarray, sims: np.ndarray, names: np.ndarray) -> None:
+        """The best core so far of posts at the border: the most similar, then the smallest id."""
+        order = np.lexsort((names, -sims, row))
+        order = order[np.concatenate([[True], np.diff(row[order]) != 0])]
+        row, sims, names = row[order], sims[order], names[order]
+        if names.dtype.kind == "U" and names.dtype.itemsize > self.at[i].dtype.itemsize:
+            self.at[i] = self.at[i].astype(names.dtype)
+        better = (sims > self.best[i][row]) | ((sims == self.best[i][row]) & (names < self.at[i][row]))
+        self.best[i][row[better]], self.at[i][row[better]] = sims[better], names[better]
+
+    def finish(self):
+        for i, setting in enumerate(self.settings):
+            moved = np.flatnonzero(self.parent[i] != np.arange(len(self.ids)))
+            if len(moved):
+                yield self._batch(setting.run, pick(self.ids, moved), pick(self.ids, self.parent[i][moved]), None)
+            edge = np.flatnonzero(np.isfinite(self.best[i]))
+            if len(edge):
+                yield self._batch(setting.run, pick(self.ids, edge), pa.array(self.at[i][edge].tolist(), self.node_type), self.best[i][edge])
+
+    def _batch(self, run: int, src: pa.Array, dst: pa.Array, sim: np.ndarray | None) -> pa.RecordBatch:
+        n = len(src)
+        sims = pa.nulls(n, pa.float64()) if sim is None else pa.array(sim, pa.float64())
+        columns = [pa.array(np.full(n, run), pa.int32()), pa.array([self.grp] * n, self.grp_type), src, dst, sims]
+        return pa.RecordBatch.from_arrays(columns, names=["run", "grp", "src", "dst", "sim"])
+
+
+def threshold_links(points: DataFrame, min_sim: float, block_rows: int | None = None) -> DataFrame:
+    """``part, src, dst``: links that connect the same points as all pairs of one ``grp`` with similarity ``min_sim`` or more.
+
+    ``points`` needs ``grp, id, embedding``. A pack gives a forest of its points and one link at most for each point of
+    a partner, so the links grow with the points and not with the pairs.
+    """
+    cells = Cells(points, block_rows) if block_rows else Cells(points)
+    grp, node = cells.points.schema["grp"], cells.points.schema["id"]
+    every = cells.points.withColumn("core", F.array(F.lit(1.0).cast("float")))
+    types = to_arrow_type(grp.dataType), to_arrow_type(node.dataType)
+    one = [DensitySetting(0, min_sim, 0, 0)]
+    found = cells.streamed(lambda: LinksSoFar(one, *types), _link_schema(grp, node), cells.cell_pairs(min_sim=min_sim), once=True, points=every)
+    return found.select(F.col("grp").alias("part"), "src", "dst")
+
+
+def _link_schema(grp: T.StructField, node: T.StructField) -> T.StructType:
+    ends = [T.StructField("src", node.dataType), T.StructField("dst", node.dataType), T.StructField("sim", T.DoubleType())]
+    return T.StructType([T.StructField("run", T.IntegerType()), grp, *ends])
 
 
 def density_runs(posts: DataFrame, settings: Sequence[DensitySetting], block_rows: int | None = None) -> DataFrame:
@@ -148,10 +212,10 @@ def density_runs(posts: DataFrame, settings: Sequence[DensitySetting], block_row
     flags = F.array(*[(F.col(f"c{limits.index(s.min_sim)}") >= s.min_samples).cast("float") for s in settings])
     flagged = materialize(cells.points.join(degree.select("grp", "id", flags.alias("core")), ["grp", "id"]), "cores")
 
-    link_schema = T.StructType(
-        [T.StructField("run", T.IntegerType()), grp, T.StructField("src", node.dataType), T.StructField("dst", node.dataType), T.StructField("sim", T.DoubleType())]
-    )
-    links = materialize(cells.self_join(_link_kernel(settings), link_schema, pairs, points=flagged), "density-links")
+    link_schema = _link_schema(grp, node)
+    node_type = to_arrow_type(node.dataType)
+    found = cells.streamed(lambda: LinksSoFar(settings, grp_type, node_type), link_schema, pairs, once=True, points=flagged)
+    links = materialize(found, "density-links")
 
     # The same id may appear in several groups, so a component lives in one (run, grp).
     part = F.struct("run", "grp")
