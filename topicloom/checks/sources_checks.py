@@ -63,7 +63,7 @@ def _(t: Tables):
 @check("combine_raw_files", "SELECT source AS subreddit, count(*) AS n, count(*) AS with_file FROM documents GROUP BY 1")
 def _(t: Tables):
     path = t.scratch("raw")
-    t.read("documents").select("doc_id", "source", "text").repartition(4).write.json(path)
+    t.several_files(t.read("documents").select("doc_id", "source", "text")).write.json(path)
     rows = read_raw_folder(t.spark, path)
     return rows.groupBy(F.col("source").alias("subreddit")).agg(F.count(F.lit(1)).alias("n"), F.count("source_file").alias("with_file"))
 
@@ -305,7 +305,7 @@ def _(t: Tables):
 def _(t: Tables):
     source, out = t.scratch("posts"), t.scratch("embeddings")
     posts = t.text_posts().select("post_id", "title", "body")
-    posts.repartition(4).write.parquet(source)
+    t.several_files(posts).write.parquet(source)
     stream_embeddings(t.spark, source, posts.schema, length_model, out, t.scratch("progress"), files_per_trigger=1)
     return _shown_vectors(t.spark.read.parquet(out))
 

@@ -24,6 +24,10 @@ class Tables:
     def scratch(self, name: str) -> str:
         return fresh_path(self.spark, "check") + "/" + name
 
+    def several_files(self, rows: DataFrame, least: int = 4) -> DataFrame:
+        """The rows dealt over several files to be, more of them the more the scan has parts, so that a file keeps its size."""
+        return rows.repartition(max(least, rows.rdd.getNumPartitions()))
+
     def order_posts(self) -> DataFrame:
         """Dated, scored posts over several years."""
         slot = F.col("o_custkey") % 12
