@@ -15,7 +15,7 @@ from topicloom.operators.communities import communities, modularity
 from topicloom.operators.components import connected_components
 from topicloom.operators.density import DensitySetting, density_cluster_labels, threshold_links
 from topicloom.operators.neighbors import nearest_neighbors, similar_pairs
-from topicloom.operators.split import split_topics
+from topicloom.operators.split import _packed, _round, split_topics
 from topicloom.operators.ward import ward_groups, ward_merges
 from topicloom.plans.refinement import asked_pairs, refine
 
@@ -352,3 +352,17 @@ def test_refine_with_decision_tables(spark):
         ("merge_check", None, None, 6, 8, "true"),
         ("merge_apply", None, None, None, None, None),
     }
+
+
+def test_split_rounds_read_packed_rows(spark):
+    x = blobs(per=30)
+    posts = table(spark, x, np.arange(len(x)) % 3).withColumn("embedding", F.col("embedding").cast("array<double>"))
+    packs = _packed(posts)
+    # One row per batch, whatever the number of posts.
+    assert packs.count() <= 4 * posts.rdd.getNumPartitions() < len(x)
+    centers = np.stack([x[[i, i + 3]] for i in range(3)]).astype(float)
+    got = _round(packs, np.arange(3), centers)
+    for t in range(3):
+        rows = x[np.arange(len(x)) % 3 == t].astype(float)
+        side = ((rows - centers[t, 1]) ** 2).sum(1) < ((rows - centers[t, 0]) ** 2).sum(1)
+        assert np.allclose(got[t, 0], rows[~side].mean(0)) and np.allclose(got[t, 1], rows[side].mean(0))

@@ -7,6 +7,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,34 +49,54 @@ def _sides(matrix: np.ndarray, place: np.ndarray, centers: np.ndarray) -> np.nda
     return (gap[1] < gap[0]).astype(np.int32)
 
 
-def _lookup(topics: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
-    return np.searchsorted(topics, batch.column("topic").to_numpy(zero_copy_only=False))
+def _lookup(topics: np.ndarray, values: np.ndarray) -> np.ndarray:
+    return np.searchsorted(topics, values)
 
 
-def _round(rows: DataFrame, topics: np.ndarray, centers: np.ndarray):
-    """New centers: every batch sends one partial sum per topic and side."""
+def _packed(rows: DataFrame) -> DataFrame:
+    """``topics, vectors``: the topics and vectors of one batch of rows as bytes, which every round reads again."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                topics = batch.column("topic").to_numpy(zero_copy_only=False).astype(np.int64)
+                both = topics.tobytes(), to_matrix(batch.column("embedding")).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in both], names=["topics", "vectors"])
+
+    return rows.select("topic", "embedding").mapInArrow(pack, "topics binary, vectors binary")
+
+
+def _sums(matrix: np.ndarray, slot: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slots in use, ascending, with their row counts and vector sums."""
+    order = np.argsort(slot, kind="stable")
+    counts = np.bincount(slot, minlength=slots)
+    used = np.flatnonzero(counts)
+    first = np.concatenate([[0], np.cumsum(counts[used])[:-1]])
+    return used, counts[used], np.add.reduceat(matrix[order], first, axis=0)
+
+
+def _round(packs: DataFrame, topics: np.ndarray, centers: np.ndarray):
+    """New centers: every task sends one partial sum per topic and side."""
     width = centers.shape[2]
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, sums = np.zeros(2 * len(topics), np.int64), np.zeros((2 * len(topics), width))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            matrix, place = to_matrix(batch.column("embedding")), _lookup(topics, batch)
-            slot = place * 2 + _sides(matrix, place, centers)
-            used, index = np.unique(slot, return_inverse=True)
-            sums = np.zeros((len(used), width))
-            np.add.at(sums, index, matrix)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int64()), pa.array(np.bincount(index), pa.int64()), to_lists(sums, pa.float64())], names=["slot", "n", "s"]
-            )
-
-    pieces = rows.mapInArrow(partial, "slot long, n long, s array<double>")
-    spread = pieces.select("slot", "n", F.posexplode("s").alias("dim", "x"))
-    totals = spread.groupBy("slot", "dim").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
-    means = totals.groupBy("slot").agg(F.sort_array(F.collect_list(F.struct("dim", (F.col("x") / F.col("n")).alias("v")))).alias("p"))
+            for names, vectors in zip(batch.column("topics"), batch.column("vectors")):
+                place = _lookup(topics, np.frombuffer(names.as_buffer(), np.int64))
+                matrix = np.frombuffer(vectors.as_buffer(), np.float64).reshape(len(place), width)
+                used, n, total = _sums(matrix, place * 2 + _sides(matrix, place, centers), 2 * len(topics))
+                counts[used] += n
+                sums[used] += total
+        used = np.flatnonzero(counts)
+        if len(used):
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64()), to_lists(sums[used], pa.float64())], names=["slot", "n", "s"])
+
+    pieces = packs.mapInArrow(partial, "slot long, n long, s array<double>")
+    totals = pieces.groupBy("slot").agg(F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("s"))
     new = centers.copy()
-    for r in means.select("slot", F.col("p.v").alias("v")).collect():
-        new[r["slot"] // 2, r["slot"] % 2] = r["v"]
+    for r in totals.collect():
+        new[r["slot"] // 2, r["slot"] % 2] = np.array(r["s"]) / r["n"]
     return new
 
 
@@ -120,21 +142,23 @@ def _split_batch(rows: DataFrame, starts: DataFrame, rounds: int, schema: T.Stru
         return rows.sparkSession.createDataFrame([], schema)
     topics = np.array([r["topic"] for r in known])
     centers = np.array([[r["first"], r["second"]] for r in known], dtype=np.float64)
+    packs = materialize(_packed(rows), "split-packs")
     for _ in range(rounds):
-        moved = _round(rows, topics, centers)
+        moved = _round(packs, topics, centers)
         if np.allclose(moved, centers, rtol=0, atol=1e-12):
             break
         centers = moved
     else:
         warnings.warn(f"the halves of some topics still move after {rounds} rounds", stacklevel=2)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                side = _sides(to_matrix(batch.column("embedding")), _lookup(topics, batch), centers)
+                place = _lookup(topics, batch.column("topic").to_numpy(zero_copy_only=False))
+                side = _sides(to_matrix(batch.column("embedding")), place, centers)
                 yield pa.RecordBatch.from_arrays([batch.column("post_id"), batch.column("topic"), pa.array(side, pa.int32())], names=["post_id", "topic", "side"])
 
-    return rows.mapInArrow(place, schema)
+    return rows.mapInArrow(dealt, schema)
 
 
 def new_split_ids(halves: DataFrame, next_id: DataFrame, order: Sequence[str] = ("rank", "side")) -> DataFrame:
