@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from topicloom.operators import communities as communities_module
 from topicloom.operators.communities import communities, modularity
 
 
@@ -46,3 +47,14 @@ def test_modularity_never_falls(spark, connected, outside):
     # The planted groups are not always the best ones: a node may have more weight elsewhere.
     planted = spark.createDataFrame([(i, i // 25 if i < 150 else (150 if i < 155 else 160)) for i in range(210)], "id long, comm long")
     assert q >= modularity(frame, planted).first()["q"] - (1e-9 if outside == 0.01 else 0.02)
+
+
+def test_large_sides_are_not_broadcast(spark, monkeypatch):
+    rows, few = spark.range(5000), spark.range(10)
+    plan = lambda side: rows.join(communities_module._side(side)(side), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(rows) and "Broadcast" in plan(few)
+    # The groups are the same either way.
+    monkeypatch.setattr(communities_module, "SHUFFLED_ROWS", 1)
+    edges = spark.createDataFrame([(0, 1, 1.0), (1, 2, 1.0), (0, 2, 1.0), (3, 4, 1.0), (4, 5, 1.0), (3, 5, 1.0), (2, 3, 0.1)], "a long, b long, w double")
+    got = {r["id"]: r["comm"] for r in communities_module.communities(spark.range(6), edges).collect()}
+    assert len({got[i] for i in (0, 1, 2)}) == len({got[i] for i in (3, 4, 5)}) == 1 and got[0] != got[3]
