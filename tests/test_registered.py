@@ -40,3 +40,10 @@ def test_query_agrees_with_sql(spark, db, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_files_follow_the_scan(spark):
+    from topicloom.checks.tables import Tables
+
+    parts = lambda n: Tables(spark, "none").several_files(spark.range(0, 100, 1, n)).rdd.getNumPartitions()
+    assert parts(2) == 4 and parts(9) == 9
