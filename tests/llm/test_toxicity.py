@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from topicloom.llm import toxicity
@@ -85,3 +88,21 @@ def test_cosine_of_whole_vocabulary():
         near = model.nearest(*toxicity.weigh(model.idf, e.terms, e.counts, e.words), 15)
         want = np.unique(dense.round(12), axis=0) @ dense[i]
         assert np.allclose([s for _, s in near], np.sort(want)[::-1][:15])
+
+
+def test_scoring_lays_out_few_terms_at_once():
+    rnd = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rnd.choice(letters) for _ in range(9)) for _ in range(3000)]
+    terms = {t: i for i, t in enumerate(sorted({t for w in words for t in toxicity.terms_of(w.encode())}))}
+    examples = [toxicity.Example(i, i % 2, 0, np.array([i, i + 1], np.int32), np.array([1, 1], np.int32), 2) for i in range(50)]
+    model = toxicity.build(np.ones(len(terms)), examples)
+    model.terms = terms
+    texts = [" ".join(rnd.choice(words) for _ in range(300)) for _ in range(700)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    out = list(toxicity._scorer(SimpleNamespace(value=vars(model)), 0.7)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(b.num_rows for b in out) == len(texts)
+    assert peak < 40 << 20

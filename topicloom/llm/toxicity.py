@@ -9,6 +9,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pandas.util import hash_array
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructType
@@ -44,6 +45,9 @@ COPY_SHARE = 0.6
 # Examples of each half that are scored to choose the caution, and to calibrate.
 TRIALS = 400
 CALIBRATED = 3000
+# Bytes of text whose terms are laid out at once (a term takes some hundred bytes there), and words whose terms are kept.
+SCORE_BYTES = 256 << 10
+KEPT_WORDS = 100_000
 
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[128:] = np.arange(128, 256)
@@ -167,10 +171,12 @@ class ExampleIndex:
         # A group is the postings of one term in one block.
         block = self.entry // BLOCK
         new = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else np.zeros(0, np.int64)
-        self.start = np.append(new, len(term))
-        self.block = block[new]
+        # Every worker holds a copy, so numbers take no more bytes than they need.
+        self.start = np.append(new, len(term)).astype(np.min_scalar_type(-max(1, len(term))))
+        self.block = block[new].astype(np.min_scalar_type(-max(1, self.blocks)))
         self.most = np.maximum.reduceat(self.value, new) if len(new) else np.zeros(0)
-        self.first = np.searchsorted(term[new], np.arange(int(term.max(initial=-1)) + 2))
+        self.first = np.searchsorted(term[new], np.arange(int(term.max(initial=-1)) + 2)).astype(np.int32 if len(new) < 1 << 31 else np.int64)
+        self.entry = self.entry.astype(np.min_scalar_type(self.count))
         self.terms: dict[bytes, int] = {}
         self.knots: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
@@ -305,7 +311,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
     whole = whole[keep]
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches):
+        for batch in text_chunks(batches, limit=SCORE_BYTES):
             doc, term, count, words = vectors_of(batch.column("text"), terms)
             first = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             yield pa.RecordBatch.from_arrays(
@@ -393,28 +399,21 @@ def build(idf: np.ndarray, examples: list[Example]) -> ExampleIndex:
     return ExampleIndex(idf, vectors, np.array(n), np.array(bad), ids, sum(bad) / max(1, sum(n)))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, threshold: float = THRESHOLD) -> DataFrame:
-    """All columns of ``docs`` and held_out, score, predicted, evidence for every row.
-
-    The score depends on the text alone: the shares of toxic labels among the nearest examples, weighted by cosine and
-    mapped to frequencies that were observed when halves of the examples scored each other. ``evidence`` holds ids of the nearest
-    examples. Null and blank texts are compared like any other (they have no words). Without any labelled row
-    every score is 0. Repeated rows get equal scores; null ids are scored and count as not held out; columns named like
-    the new ones are replaced.
-    """
-    model = fit(docs, labels, max_examples)
-    held = F.coalesce((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3) == 1, F.lit(False))
-    new = ("held_out", "score", "predicted", "evidence")
-    kept = [c for c in docs.columns if c not in new]
+def _scorer(parts: Broadcast, threshold: float):
+    """The function that adds score, predicted and evidence to batches; ``parts`` are the attributes of the index."""
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[bytes, tuple[float, list[int]]] = {}
         seen: dict[bytes, list[int]] = {}
-        for batch in text_chunks(batches):
+        model = None
+        if parts.value:
+            model = ExampleIndex.__new__(ExampleIndex)
+            model.__dict__.update(parts.value)
+        for batch in text_chunks(batches, limit=SCORE_BYTES):
             scores, evidence = np.zeros(batch.num_rows), [[] for _ in range(batch.num_rows)]
             if model is not None:
                 doc, term, count, words = vectors_of(batch.column("text"), model.terms, seen)
-                if len(seen) > 200_000:
+                if len(seen) > KEPT_WORDS:
                     seen = {}
                 first = np.searchsorted(doc, np.arange(batch.num_rows + 1))
                 for i in range(batch.num_rows):
@@ -429,9 +428,28 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_E
             values = [pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(evidence, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *values], names=[*batch.schema.names, "score", "predicted", "evidence"])
 
+    return scored
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, threshold: float = THRESHOLD) -> DataFrame:
+    """All columns of ``docs`` and held_out, score, predicted, evidence for every row.
+
+    The score depends on the text alone: the shares of toxic labels among the nearest examples, weighted by cosine and
+    mapped to frequencies that were observed when halves of the examples scored each other. ``evidence`` holds ids of the nearest
+    examples. Null and blank texts are compared like any other (they have no words). Without any labelled row
+    every score is 0. Repeated rows get equal scores; null ids are scored and count as not held out; columns named like
+    the new ones are replaced.
+    """
+    model = fit(docs, labels, max_examples)
+    held = F.coalesce((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3) == 1, F.lit(False))
+    new = ("held_out", "score", "predicted", "evidence")
+    kept = [c for c in docs.columns if c not in new]
+
     rows = docs.select(*kept).withColumn("held_out", held)
     schema = StructType(list(rows.schema.fields)).add("score", DoubleType()).add("predicted", IntegerType()).add("evidence", ArrayType(LongType()))
-    return rows.mapInArrow(scored, schema)
+    # Plain values are sent, since a worker also keeps the bytes of whatever comes with a function; the function carries the class.
+    parts = docs.sparkSession.sparkContext.broadcast(vars(model) if model is not None else {})
+    return rows.mapInArrow(_scorer(parts, threshold), schema)
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, threshold: float = THRESHOLD) -> DataFrame:
