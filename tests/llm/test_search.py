@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from topicloom.llm import ann, topk
+from topicloom.llm import ann, blocks, topk
 
 
 def table(spark, rows):
@@ -66,3 +66,21 @@ def test_neighbours_recall_and_scores(spark):
     for r in got[:200]:
         assert r.score == float(np.sum(vectors[r.vec_id] * vectors[r.query_id]))
     assert ann.nearest_neighbours(table(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("search", [topk.top_k_search, ann.nearest_neighbours])
+def test_blocks_are_not_copied_for_packs(spark, monkeypatch, search):
+    # Several groups of blocks, several packs each.
+    monkeypatch.setattr(blocks, "GROUP_BYTES", 20000)
+    rows = [r for r in awkward(4) if r[1] is None or any(r[1])]
+    found = search(table(spark, rows), k=400, every=20, block_rows=50, query_rows=4)
+    turn = (lambda v: np.floor(64 * v)) if search is topk.top_k_search else (lambda v: v)
+    want = brute(rows, 400, 20, turn, lambda a, b: float(np.sum(a * b)))
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in found.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    # What is sent after blocks have met packs are the best rows of queries.
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    meeting = next(i for i, x in enumerate(lines) if "MapInArrow" in x)
+    below = lines[meeting + 1 :]
+    product = next(i for i, x in enumerate(below) if "CartesianProduct" in x or "Join" in x)
+    assert not any("Exchange" in x for x in below[:product])

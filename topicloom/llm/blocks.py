@@ -6,13 +6,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.session import materialize
 
 BLOCK_ROWS = 8192
 QUERY_ROWS = 256
+# Bytes of blocks that a task passes to its packs, and the tasks that share the packs, unless each gets more than MOST_PACKS.
+GROUP_BYTES = 32 << 20
+PACK_TASKS = 24
+MOST_PACKS = 16
 # Stands for a null id, so that it comes last among ties.
 NULL_ID = np.iinfo(np.int64).max
 
@@ -83,9 +87,10 @@ def search(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best rows of the table for each vector whose id is divisible by ``every``.
 
-    Packs of queries are spread over the tasks; the blocks of the table pass each pack one by one, and only the best
-    ``k`` of every query are kept. ``look(block, query, skip, kth)`` returns rows of the block and their scores: at
-    least all that can still beat ``kth``, without the row ``skip``.
+    Every group of blocks meets every share of the packs in a task of its own. Blocks are read where they were written
+    and never copied for a pack; they pass each pack one by one, and only the best ``k`` of every query are kept, then
+    the best of all groups. ``look(block, query, skip, kth)`` returns rows of the block and their scores: at least all
+    that can still beat ``kth``, without the row ``skip``.
     """
 
     def queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +116,8 @@ def search(
                 if now is None or row["pack"] != now["pack"]:
                     if now is not None:
                         yield shown(now, best)
-                    now = {"pack": row["pack"], "asked": np.frombuffer(row["asked"], np.int64)}
+                    places = np.frombuffer(row["places"], np.int64)
+                    now = {"pack": row["pack"], "places": (row["home"] << 20) + places, "asked": np.frombuffer(row["asked"], np.int64)}
                     best = [(np.zeros(0, np.int64), np.zeros(0, score_type)) for _ in now["asked"]]
                 n, d = row["n"], row["d"]
                 block = {"n": n, "d": d, "ids": np.frombuffer(row["ids"], np.int64), "m": np.frombuffer(row["vectors"], dtype).reshape(n, d), "extra": unpack(row["extra"], n, d)}
@@ -133,16 +139,21 @@ def search(
 
     def shown(now: dict, best: list) -> pa.RecordBatch:
         sizes = [len(ids) for ids, _ in best]
-        ids = np.concatenate([ids for ids, _ in best])
-        ranks = np.concatenate([np.arange(1, n + 1) for n in sizes])
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(now["asked"], sizes)), pa.array(ranks.astype(np.int32)), pa.array(ids, mask=ids == NULL_ID), pa.array(np.concatenate([s for _, s in best]))],
-            names=["query_id", "rank", "vec_id", "score"],
+            [pa.array(np.repeat(now["places"], sizes)), pa.array(np.repeat(now["asked"], sizes)), pa.array(np.concatenate([ids for ids, _ in best])), pa.array(np.concatenate([s for _, s in best]))],
+            names=["place", "query_id", "vec_id", "score"],
         )
 
-    # Every block meets every pack, as one row each: the packs are a stated set of queries. Both sides name the pack.
-    listed = packs.select("pack")
-    every_pack = blocks.join(listed)
-    met = every_pack.join(packs, "pack").repartition(max(1, packs.count()), "pack").sortWithinPartitions("pack", "block")
-    schema = f"query_id long, rank int, vec_id long, score {'long' if score_type == 'int64' else 'double'}"
-    return met.mapInArrow(scan, schema)
+    # A task holds one group at a time. Its blocks keep their order, on which an approximate search depends.
+    size = blocks.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("ids") + F.octet_length("vectors") + F.octet_length("extra")), F.lit(0)).alias("bytes")).first()
+    asked = packs.count()
+    groups = min(max(1, size["n"]), -(-size["bytes"] // GROUP_BYTES) or 1)
+    shares = max(1, min(asked, max(PACK_TASKS, -(-asked // MOST_PACKS))))
+    grouped = blocks.repartitionByRange(groups, "block").sortWithinPartitions("block").withColumn("turn", F.monotonically_increasing_id())
+    met = packs.repartition(shares).hint("shuffle_replicate_nl").crossJoin(grouped)
+    number = "long" if score_type == "int64" else "double"
+    found = met.mapInArrow(scan, f"place long, query_id long, vec_id long, score {number}")
+    # Zeros of either sign are equal scores.
+    best_first = Window.partitionBy("place").orderBy((F.col("score") + F.lit(0).cast(number)).desc(), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", F.nullif("vec_id", F.lit(int(NULL_ID))).alias("vec_id"), "score")
